@@ -82,9 +82,9 @@ def file_stem(column: str = "_metadata.file_name") -> Column:
     return F.split_part(F.col(column), F.lit("."), F.lit(1))
 
 
-def with_path_fields(df: DataFrame) -> DataFrame:
+def with_path_fields(df: DataFrame, name: str = "_metadata.file_name") -> DataFrame:
     """``date`` and ``set_id`` from file names ``date_setid.json``; no date without underscore."""
-    stem = file_stem()
+    stem = file_stem(name)
     split = F.instr(stem, "_")
     return df.select(
         "*",
@@ -93,19 +93,23 @@ def with_path_fields(df: DataFrame) -> DataFrame:
     )
 
 
+def join_text_with_meta(texts: DataFrame, meta: DataFrame, stem: str = "stem") -> DataFrame:
+    """Texts (stripped, blank ones dropped) with the side-car facts of the same file stem."""
+    full = texts.select(stem, strip("text").alias("text")).where("text != ''")
+    return meta.join(full, stem).drop(stem)
+
+
 def read_text_with_meta(
     spark: SparkSession, text_glob: str, meta_glob: str, multi_line: bool = True
 ) -> DataFrame:
-    """Whole text files joined with the JSON side-car of the same stem; blank texts dropped."""
-    texts = (
-        spark.read.option("wholetext", True).text(text_glob)
-        .select(file_stem().alias("_stem"), strip("value").alias("text"))
-        .where("text != ''")
+    """Whole text files joined with the JSON side-car of the same stem."""
+    texts = spark.read.option("wholetext", True).text(text_glob).select(
+        file_stem().alias("stem"), F.col("value").alias("text")
     )
     meta = spark.read.schema(S.LABEL_META).option("multiLine", multi_line).json(meta_glob).select(
-        "*", file_stem().alias("_stem")
+        "*", file_stem().alias("stem")
     )
-    return meta.join(texts, "_stem").drop("_stem")
+    return join_text_with_meta(texts, meta)
 
 
 def read_annotations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
