@@ -116,10 +116,10 @@ def _(t):
 
 def _regions(t):
     return [
-        B.us_rows(t.scores(), t.us_map(), t.us_meta()),
-        B.region_rows(t.scores(), t.order_labels("UK"), t.order_codes("UK"), "UK"),
-        B.region_rows(t.scores(), t.order_labels("EU"), t.order_codes("EU"), "EU"),
-        B.jp_rows(t.jp_matches(), t.order_labels("JP"), t.kegg(), t.nodes(), t.edges()),
+        B.us_region(t.scores(), t.us_map(), t.us_meta()),
+        B.coded_region(t.scores(), t.order_labels("UK"), t.order_codes("UK"), "UK"),
+        B.coded_region(t.scores(), t.order_labels("EU"), t.order_codes("EU"), "EU"),
+        B.jp_region(t.jp_matches(), t.order_labels("JP"), t.kegg(), t.nodes(), t.edges()),
     ]
 
 

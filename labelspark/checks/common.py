@@ -117,7 +117,7 @@ CTES: dict[str, str] = {
     **{
         f"{r.lower()}_meta": f"""
         SELECT o_orderpriority AS name, '{r}' || o_orderkey AS code,
-               CASE WHEN o_orderkey % 11 <> 0 THEN 'D' || (o_orderkey % 100) END AS kegg_id,
+               CASE WHEN o_orderkey % 11 <> 0 THEN 'D' || o_custkey END AS kegg_id,
                CASE WHEN o_orderkey % 10 <> 0 THEN 'https://labels.example/' || o_orderkey END AS page_url
         FROM orders WHERE o_orderkey % 4 = {i}""" for r, i in (("UK", 1), ("EU", 2), ("JP", 3))
     },
@@ -152,7 +152,7 @@ CTES: dict[str, str] = {
                       FROM all_effects WHERE effect_meddra_id % 2 = 1
         )""",
     "kegg": """
-        SELECT 'dr:D' || (p_partkey % 100) AS kegg_id,
+        SELECT 'dr:D' || p_partkey AS kegg_id,
                CASE WHEN p_partkey % 3 = 0 THEN 'ndc:' || substr(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), 1, 5) || '-'
                         || substr(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), 6, 4)
                     ELSE 'ndc:' || substr(lpad(CAST(p_partkey AS VARCHAR), 8, '0'), 1, 4) || '-'

@@ -87,13 +87,12 @@ def _example_sql(method: int, nwords: int = 20) -> str:
 @query("t04_examples", " UNION ALL ".join(_example_sql(m) for m in EXAMPLE_METHODS))
 def _(t):
     hits = M.find_terms(t.texts(), t.vocabulary())
-    out = None
     for m in EXAMPLE_METHODS:
-        one = M.make_example(hits, m, 20).groupBy("text_id").agg(
-            F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.sort_array(F.collect_list("string")), "|").cast("binary")).alias("digest")
-        ).select(F.lit(m).alias("method"), "text_id", "n", "digest")
-        out = one if out is None else out.unionByName(one)
-    return out
+        hits = M.make_example(hits, m, 20, name=f"m{m}")
+    long = hits.select("text_id", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("method"), F.col(f"m{m}").alias("s")) for m in EXAMPLE_METHODS])).alias("e")).select("text_id", "e.*")
+    return long.groupBy("method", "text_id").agg(
+        F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.sort_array(F.collect_list("s")), "|").cast("binary")).alias("digest"))
 
 
 @query("t05_random_words", "SELECT text_id, term_id, start, least(20, len(w)) AS n_words FROM matches JOIN "

@@ -19,6 +19,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An expression that is used inside a lambda is otherwise evaluated again per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(c: Column | str) -> Column:
     """White-space separated words without empties."""
     return F.filter(F.split(_col(c), SPACE), lambda w: w != "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import matches_any, ratio  # noqa: F401
+from ..functions import let, matches_any
 
 # Phrases that mark class-wide and animal evidence.
 DRUG_CLASS_PATTERNS = [
@@ -94,17 +94,19 @@ def _classified(text: Column) -> Column:
 
 def add_evidence_flag(records: DataFrame) -> DataFrame:
     """Annotation records whose events carry the evidence kind as their eighth element."""
-    with_spans = records.withColumn("_spans", _classified(F.coalesce("section_text", F.lit(""))))
-    events = F.transform(
-        "adverse_events",
-        lambda e: F.array_append(
-            F.slice(e, 1, 7),
-            point_in_interval(
-                F.coalesce(e[5].cast("double").cast("int"), F.lit(0)), F.col("_spans"), "flag2", "human"
+    def flagged(spans: Column) -> Column:
+        return F.transform(
+            "adverse_events",
+            lambda e: F.array_append(
+                F.slice(e, 1, 7),
+                point_in_interval(
+                    F.coalesce(e[5].cast("double").cast("int"), F.lit(0)), spans, "flag2", "human"
+                ),
             ),
-        ),
-    )
-    return with_spans.withColumn("adverse_events", events).drop("_spans")
+        )
+
+    spans = _classified(F.coalesce("section_text", F.lit("")))
+    return records.withColumn("adverse_events", let(spans, flagged))
 
 
 def flatten_events(records: DataFrame, keep: list[str]) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import words
-from ..functions.text import _col
+from ..session import stage
+from .ordered import number_rows, running
 
 # A vocabulary above this many bytes is matched in several passes, one broadcast part each.
 MAX_BROADCAST_BYTES = 16 << 20
@@ -251,9 +252,7 @@ def match_contexts(
 
 def number_matches(matches: DataFrame, name: str = "match_id") -> DataFrame:
     """Match numbers from 0 in the order of text, end and start."""
-    from .ordered import number_rows
-
-    return number_rows(matches, ["text_id", "end", "start"], name, start=0)
+    return number_rows(stage(matches, "matches"), ["text_id", "end", "start"], name, start=0)
 
 
 # --- training examples -------------------------------------------------------------------
@@ -281,12 +280,26 @@ EXAMPLE_STYLES = {
 NONSENSE = "YIHFKEHDK"
 
 
+# Strides for walking a word list; primes above any usual number of words.
+STRIDES = [1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121]
+
+
 def random_words(word_array: Column, n: int, key: Column, seed: int = 222) -> Column:
-    """n words of a text in a seeded shuffled order (all of them for a shorter text)."""
-    keyed = F.transform(
-        word_array, lambda w, i: F.struct(F.xxhash64(w, i, key, F.lit(seed)), i, w.alias("w"))
+    """n different words of a text in a seeded shuffled order (all of them for a shorter text).
+
+    A stride that shares no factor with the number of words visits every position once, so n
+    words cost n steps whatever the length of the text.
+    """
+    size = F.size(word_array)
+    strides = F.array(*[F.lit(p) for p in STRIDES])
+    pick = F.get(strides, F.pmod(F.xxhash64(key, F.lit(seed + 1)), F.lit(len(STRIDES))).cast("int"))
+    stride = F.when(size % pick == 0, F.lit(1)).otherwise(pick).cast("bigint")
+    first = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 31))
+    steps = F.sequence(F.lit(1), F.least(size, F.lit(n)))
+    place = lambda i: ((first + i.cast("bigint") * stride) % size).cast("int")
+    return F.when(size > 0, F.transform(steps, lambda i: F.get(word_array, place(i)))).otherwise(
+        F.array().cast("array<string>")
     )
-    return F.slice(F.transform(F.array_sort(keyed), lambda s: s["w"]), 1, n)
 
 
 def make_example(
@@ -330,9 +343,8 @@ def resolve_overlaps(matches: DataFrame, key: str = "text_id") -> DataFrame:
     Matches are first cut at the gaps no match covers. The choice is then made inside each
     stretch of touching matches, never over all matches of a text.
     """
-    from .ordered import running
-
-    spans = matches.withColumn("_stop", F.col("end") + 1).withColumn(
+    # range boundaries are sampled, so the matches are written once instead of found twice
+    spans = stage(matches, "matches").withColumn("_stop", F.col("end") + 1).withColumn(
         "_tie", F.xxhash64(*[F.col(c) for c in matches.columns])
     )
     order = ["start", "end", "_tie"]

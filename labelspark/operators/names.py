@@ -62,26 +62,26 @@ def grams(name: Column | str) -> Column:
 def _prefixed(sets: DataFrame, weights: DataFrame, min_sim: float) -> DataFrame:
     """Each name under its rarest grams: enough of them that two names with the wanted
     similarity must share one. Common grams never become a join key."""
-    long = sets.select("name", "n", F.explode("grams").alias("gram"))
-    ranked = long.join(weights, "gram", "left").groupBy("name", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("weight", F.lit(0)).alias("w"), "gram"))).alias("g")
-    )
-    keep = F.col("n") - F.ceil(F.lit(min_sim) * F.col("n") - F.lit(1e-9)) + 1
-    return ranked.select(
-        "name", "n", F.explode(F.slice("g", F.lit(1), keep.cast("int"))).alias("_g")
-    ).select("name", "n", F.col("_g.gram").alias("gram"))
+    long = sets.select("name", F.explode("grams").alias("gram"))
+    ordered = long.join(weights, "gram", "left").groupBy("name").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("weight", F.lit(0)).alias("w"), "gram"))).alias("_g")
+    ).select("name", F.transform("_g", lambda g: g["gram"]).alias("grams"))
+    n = F.size("grams")
+    keep = (n - F.ceil(F.lit(min_sim) * n - F.lit(1e-9)) + 1).cast("int")
+    head = ordered.withColumn("head", F.slice("grams", F.lit(1), keep))
+    return head.select("name", "grams", "head", F.explode("head").alias("gram"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, min_sim: float) -> DataFrame:
     """All (name, other, sim) with trigram Jaccard similarity of at least ``min_sim``.
 
     Exact: prefix filtering and the length bound only skip pairs that cannot qualify. Both
-    inputs are distinct names, so repeated names cost nothing.
+    inputs are distinct names, so repeated names cost nothing. A pair is compared under the
+    first gram its two prefixes share and nowhere else.
     """
     def sets(df: DataFrame) -> DataFrame:
-        return df.select("name").where("name is not null and name != ''").distinct().select(
-            "name", grams("name").alias("grams")
-        ).withColumn("n", F.size("grams"))
+        names = df.select("name").where("name is not null and name != ''").distinct()
+        return names.withColumn("grams", grams("name"))
 
     a, b = sets(left), sets(right)
     weights = b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(
@@ -89,17 +89,17 @@ def similar_names(left: DataFrame, right: DataFrame, min_sim: float) -> DataFram
     )
     pa = _prefixed(a, weights, min_sim)
     pb = _prefixed(b, weights, min_sim).select(
-        F.col("name").alias("other"), F.col("n").alias("m"), "gram"
+        F.col("name").alias("other"), F.col("grams").alias("grams_b"), F.col("head").alias("head_b"), "gram"
     )
+    n, m = F.size("grams"), F.size("grams_b")
+    common = F.size(F.array_intersect("grams", "grams_b"))
     pairs = pa.join(pb, "gram").where(
-        (F.col("m") >= F.col("n") * min_sim) & (F.col("n") >= F.col("m") * min_sim)
-    ).select("name", "other").distinct()
-    scored = (
-        pairs.withColumns({"_a": grams("name"), "_b": grams("other")})
-        .withColumn("_i", F.size(F.array_intersect("_a", "_b")))
-        .withColumn("sim", F.col("_i") / (F.size("_a") + F.size("_b") - F.col("_i")))
+        (m >= n * min_sim) & (n >= m * min_sim)
+        & (F.get(F.array_intersect("head", "head_b"), F.lit(0)) == F.col("gram"))
+    )
+    return pairs.select("name", "other", (common / (n + m - common)).alias("sim")).where(
+        F.col("sim") >= min_sim
     )
-    return scored.where(F.col("sim") >= min_sim).select("name", "other", "sim")
 
 
 def match_approximate(ranked: DataFrame, dictionary: DataFrame, min_sim: float = 0.6) -> DataFrame:

@@ -103,15 +103,19 @@ def number_rows(
 
 
 def with_surrogate_id(
-    df: DataFrame, keys: list[str], name: str, start: int = 1
+    df: DataFrame, keys: list[str], name: str, start: int = 1, copies: str | None = None
 ) -> DataFrame:
     """A generated integer key, the same for the same table (the auto-increment of a sink).
 
     Equal rows are counted first and numbered as one stretch, so a row repeated any number of
-    times is one record until the very last step.
+    times is one record until the very last step. ``copies`` names a column with these counts
+    when the rows come counted already (each row once).
     """
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    columns = [c for c in df.columns if c != copies]
+    counted = (
+        df.withColumnRenamed(copies, "_copies") if copies
+        else df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    )
     order = keys + [c for c in columns if c not in keys]
     ends = running(counted, order, {"_last": ("sum", F.col("_copies"))})
     first = F.col("_last") - F.col("_copies") + F.lit(start)

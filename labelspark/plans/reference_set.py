@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import id_string, valid_id
+from ..functions import id_string, let, valid_id
 from ..operators.match import find_terms, make_example
 from ..operators.ontology import to_preferred
 from ..operators.relational import resolve_sections
@@ -23,9 +23,7 @@ def annotated_codes(
     events: Column, exclude_flag1: tuple[str, ...] = (), exclude_flag2: tuple[str, ...] = ()
 ) -> Column:
     """Distinct preferred and lower-level codes of a record's events that pass both flags."""
-    pts = F.transform(events, lambda e: id_string(F.get(e, F.lit(2))))
-
-    def quality(e: Column) -> Column:
+    def quality(e: Column, pts: Column) -> Column:
         pt = id_string(F.get(e, F.lit(2)))
         return (
             F.when(~valid_id(F.get(e, F.lit(2))), "unmapped")
@@ -34,7 +32,10 @@ def annotated_codes(
 
     kept = events
     if exclude_flag1:
-        kept = F.filter(kept, lambda e: ~quality(e).isin(*exclude_flag1))
+        codes_of = F.transform(events, lambda e: id_string(F.get(e, F.lit(2))))
+        kept = let(codes_of, lambda pts: F.filter(
+            events, lambda e: ~quality(e, pts).isin(*exclude_flag1)
+        ))
     if exclude_flag2:
         kept = F.filter(
             kept, lambda e: ~F.coalesce(F.get(e, F.lit(7)), F.lit("human")).isin(*exclude_flag2)

@@ -230,7 +230,7 @@ class Testbed:
         return self.table("orders").where(order % 4 == at).select(
             F.col("o_orderpriority").alias("name"),
             F.concat(F.lit(region), order.cast("string")).alias("code"),
-            F.when(order % 11 != 0, F.concat(F.lit("D"), (order % 100).cast("string"))).alias("kegg_id"),
+            F.when(order % 11 != 0, F.concat(F.lit("D"), F.col("o_custkey").cast("string"))).alias("kegg_id"),
             F.when(order % 10 != 0, F.concat(F.lit("https://labels.example/"), order.cast("string"))).alias("page_url"),
         )
 
@@ -308,7 +308,7 @@ class Testbed:
         nine = F.lpad(key.cast("string"), 9, "0")
         eight = F.lpad(key.cast("string"), 8, "0")
         return self.table("part").select(
-            F.concat(F.lit("dr:D"), (key % 100).cast("string")).alias("kegg_id"),
+            F.concat(F.lit("dr:D"), key.cast("string")).alias("kegg_id"),
             F.when(key % 3 == 0, F.concat(F.lit("ndc:"), F.substring(nine, 1, 5), F.lit("-"), F.substring(nine, 6, 4)))
             .otherwise(F.concat(F.lit("ndc:"), F.substring(eight, 1, 4), F.lit("-"), F.substring(eight, 5, 4)))
             .alias("ndc_id"),
