@@ -55,7 +55,7 @@ def _(t):
 
 @query("t03_context_any_table", context_sql(10, 0.5))
 def _(t):
-    hits = M.find_terms(t.texts(), t.vocabulary()).select("text_id", "text", "term_id", "term", "start", "end")
+    hits = M.find_terms(t.texts(), t.vocabulary(), keep_text=True)
     return longs(M.with_context(hits, 10, 0.5).select("text_id", "term_id", "start", "context"), "start")
 
 
@@ -86,9 +86,8 @@ def _example_sql(method: int, nwords: int = 20) -> str:
 
 @query("t04_examples", " UNION ALL ".join(_example_sql(m) for m in EXAMPLE_METHODS))
 def _(t):
-    hits = M.find_terms(t.texts(), t.vocabulary())
-    for m in EXAMPLE_METHODS:
-        hits = M.make_example(hits, m, 20, name=f"m{m}")
+    styles = {f"m{m}": M.example(m, 20) for m in EXAMPLE_METHODS}
+    hits = M.find_terms(t.texts(), t.vocabulary(), derive=styles)
     long = hits.select("text_id", F.explode(F.array(*[
         F.struct(F.lit(m).alias("method"), F.col(f"m{m}").alias("s")) for m in EXAMPLE_METHODS])).alias("e")).select("text_id", "e.*")
     return long.groupBy("method", "text_id").agg(
@@ -98,7 +97,7 @@ def _(t):
 @query("t05_random_words", "SELECT text_id, term_id, start, least(20, len(w)) AS n_words FROM matches JOIN "
        f"(SELECT CAST(doc_id AS VARCHAR) AS text_id, {sql_words('text')} AS w FROM documents) USING (text_id)")
 def _(t):
-    ex = M.make_example(M.find_terms(t.texts(), t.vocabulary()), 5, 20)
+    ex = M.match_examples(t.texts(), t.vocabulary(), 5, 20)
     return longs(ex.select("text_id", "term_id", "start", F.size(F.split("string", " ")).alias("n_words")), "start", "n_words")
 
 

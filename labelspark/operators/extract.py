@@ -166,7 +166,8 @@ def _per_document(docs: DataFrame, column: str, out: str, parse: Callable[[str],
     def apply(pages: pd.Series) -> pd.Series:
         return pages.map(lambda h: parse(h) if h else "")
 
-    return docs.withColumn(out, apply(F.col(column))).drop(column)
+    # not deterministic: a later filter on the text must not parse the page again
+    return docs.withColumn(out, apply.asNondeterministic()(F.col(column))).drop(column)
 
 
 def section_by_id(pages: DataFrame, section_id: str = "UNDESIRABLE_EFFECTS") -> DataFrame:

@@ -2,30 +2,25 @@
 
 The scan itself runs in an Arrow UDF that receives the text column only and returns small
 hit records. Texts stay in the JVM: they are split into words once per text and every
-context is cut out of that array, so the cost of a context does not depend on text length.
+context is cut out of that array, so its cost does not depend on the length of the text.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions import words
+from ..functions import let, words
+from ..schemas import GAPS, HITS
 from ..session import stage
 from .ordered import number_rows, running
 
 # A vocabulary above this many bytes is matched in several passes, one broadcast part each.
 MAX_BROADCAST_BYTES = 16 << 20
 
-HIT = T.ArrayType(T.StructType.fromDDL(
-    "term_id string, term string, start int, `end` int, "
-    "n_before int, head string, n_after int, tail string"
-))
-
-
 def term_dictionary(vocab: DataFrame, lower: bool = False) -> DataFrame:
     """One code per term text (the greatest one), empty terms dropped."""
     text = F.lower("text") if lower else F.col("text")
@@ -86,9 +81,7 @@ def _window(text: str, starts: list[int], ends: list[int], start: int, stop: int
 
 def _scanner(broadcast):
     """An Arrow UDF text -> hits over a broadcast part of the vocabulary."""
-    hit_type = HIT
-
-    @F.arrow_udf(hit_type)
+    @F.arrow_udf(HITS)
     def scan(texts):
         import pyarrow as pa
 
@@ -116,7 +109,8 @@ def _scanner(broadcast):
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
-    return scan
+    # keeps the optimiser from running the scan a second time inside a pushed-down filter
+    return scan.asNondeterministic()
 
 
 def _vocabulary_parts(dictionary: DataFrame, max_bytes: int):
@@ -132,16 +126,23 @@ def _vocabulary_parts(dictionary: DataFrame, max_bytes: int):
         yield spark.sparkContext.broadcast({"terms": terms})
 
 
+Derive = Callable[[Column, Column], Column]
+
+
 def find_terms(
     texts: DataFrame, vocab: DataFrame, case: bool = True, normalize: bool = False,
+    derive: dict[str, Derive] | None = None, keep_text: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Every occurrence of every term, inside words and overlapping ones too.
 
     ``texts`` needs a ``text`` column; its other columns are kept. ``normalize`` squeezes white
     space and lower-cases the text first (then matching ignores case). Adds ``term_id``,
-    ``term``, ``start`` and ``end`` (both from 0, end inclusive) plus the word-window columns
-    that :func:`with_window_context` reads. A narrow operation: no shuffle of texts.
+    ``term``, ``start`` and ``end`` (both from 0, end inclusive) and the ``derive`` columns, made
+    from the hit record and the text's word array.
+
+    A narrow operation: no shuffle, and neither the text nor its words are copied per hit,
+    because derived columns are computed inside the hit array before it is exploded.
     """
     ignore_case = normalize or not case
     dictionary = term_dictionary(vocab, lower=ignore_case)
@@ -149,31 +150,29 @@ def find_terms(
         texts = texts.withColumn("text", F.lower(F.array_join(words("text"), " ")))
     elif ignore_case:
         texts = texts.withColumn("text", F.lower("text"))
-    others = [c for c in texts.columns if c != "text"]
+    others = [c for c in texts.columns if keep_text or c != "text"]
+    base = ["term_id", "term", "start", "end"]
+
+    def records(hits: Column) -> Column:
+        made = derive or {}
+        return let(words("text"), lambda w: F.transform(hits, lambda h: F.struct(
+            *[h[c].alias(c) for c in base], *[fn(h, w).alias(n) for n, fn in made.items()]
+        )))
+
     passes = []
     for part in _vocabulary_parts(dictionary, max_bytes):
-        scanned = (
-            texts.where(F.col("text").isNotNull())
-            .withColumn("_hits", _scanner(part)(F.col("text")))
-            .where(F.size("_hits") > 0)
-            .select(*others, "text", words("text").alias("_words"), F.explode("_hits").alias("_h"))
+        scanned = texts.where(F.col("text").isNotNull()).withColumn(
+            "_hits", _scanner(part)(F.col("text"))
         )
-        passes.append(scanned)
+        full = records(F.col("_hits")) if derive else F.col("_hits")
+        passes.append(scanned.withColumn("_hits", full).select(*others, F.explode("_hits").alias("_h")))
     out = passes[0]
     for more in passes[1:]:
         out = out.unionByName(more)
-    return out.select(
-        *others, "text", "_words", "_h.term_id", "_h.term", "_h.start", "_h.end",
-        "_h.n_before", "_h.head", "_h.n_after", "_h.tail",
-    )
+    return out.select(*others, *[F.col("_h")[c].alias(c) for c in [*base, *(derive or {})]])
 
 
-WINDOW_COLUMNS = ["text", "_words", "n_before", "head", "n_after", "tail"]
-
-
-def match_terms(texts: DataFrame, vocab: DataFrame, **how) -> DataFrame:
-    """Matches with positions only: (text columns, term_id, term, start, end)."""
-    return find_terms(texts, vocab, **how).drop(*WINDOW_COLUMNS)
+match_terms = find_terms
 
 
 # --- contexts ----------------------------------------------------------------------------
@@ -187,19 +186,19 @@ def _last(arr: Column, upto: Column, n: Column) -> Column:
     )
 
 
-def window_before(n: Column) -> Column:
-    """The n words before a hit of :func:`find_terms`; a cut word counts as one."""
-    cut = F.col("head") != ""
-    whole = _last(F.col("_words"), F.col("n_before"), n - cut.cast("int"))
-    return F.when(cut & (n > 0), F.array_append(whole, F.col("head"))).otherwise(whole)
+def window_before(h: Column, w: Column, n: Column) -> Column:
+    """The n words before a hit; a cut word counts as one."""
+    cut = h["head"] != ""
+    whole = _last(w, h["n_before"], n - cut.cast("int"))
+    return F.when(cut & (n > 0), F.array_append(whole, h["head"])).otherwise(whole)
 
 
-def window_after(n: Column) -> Column:
-    """The n words after a hit of :func:`find_terms`."""
-    cut = F.col("tail") != ""
+def window_after(h: Column, w: Column, n: Column) -> Column:
+    """The n words after a hit."""
+    cut = h["tail"] != ""
     room = F.greatest(n - cut.cast("int"), F.lit(0))
-    whole = F.slice(F.col("_words"), F.col("n_after") + 1, room)
-    return F.when(cut & (n > 0), F.array_prepend(whole, F.col("tail"))).otherwise(whole)
+    whole = F.slice(w, h["n_after"] + 1, room)
+    return F.when(cut & (n > 0), F.array_prepend(whole, h["tail"])).otherwise(whole)
 
 
 def context_sizes(term: Column, nwords: int, prop_before: float) -> tuple[Column, Column]:
@@ -214,28 +213,40 @@ def _context(term: Column, before: Column, after: Column) -> Column:
     return F.array_join(F.concat(F.array(term), before, F.array(F.lit("EVENT")), after), " ")
 
 
-def with_window_context(
-    hits: DataFrame, nwords: int = 125, prop_before: float = 0.125
-) -> DataFrame:
-    """Hits of :func:`find_terms` with the context string; window columns are dropped."""
-    n_before, n_after = context_sizes(F.col("term"), nwords, prop_before)
-    ctx = _context(F.col("term"), window_before(n_before), window_after(n_after))
-    return hits.withColumn("context", ctx).drop(*WINDOW_COLUMNS)
+def context(nwords: int = 125, prop_before: float = 0.125) -> Derive:
+    """Context string of a hit: term, words before, EVENT, words after."""
+    def make(h: Column, w: Column) -> Column:
+        n_before, n_after = context_sizes(h["term"], nwords, prop_before)
+        return _context(h["term"], window_before(h, w, n_before), window_after(h, w, n_after))
+
+    return make
 
 
 def words_around(text: Column, start: Column, stop: Column, n_before: Column, n_after: Column):
-    """Word lists around a span of a text that has no prepared word array."""
-    left = words(F.substring(text, F.lit(1), start))
-    right = words(F.substring(text, stop + 1, F.length(text)))
+    """Word lists around the span [start, stop) of a text without a prepared word array.
+
+    A stretch of text next to the span is split first; the whole side only where that stretch
+    turns out too short (very long words), so the result is exact either way.
+    """
+    def reach(n: Column) -> Column:
+        return n * 16 + 64
+
+    near = reach(n_before)
+    left = words(F.substring(text, F.greatest(start - near, F.lit(0)) + 1, F.least(near, start)))
+    # one word more than needed: the first one may have been cut
+    left = F.when((start <= near) | (F.size(left) > n_before), left).otherwise(
+        words(F.substring(text, F.lit(1), start))
+    )
+    near = reach(n_after)
+    right = words(F.substring(text, stop + 1, near))
+    right = F.when(F.size(right) > n_after, right).otherwise(
+        words(F.substring(text, stop + 1, F.length(text)))
+    )
     return _last(left, F.size(left), n_before), F.slice(right, F.lit(1), n_after)
 
 
 def with_context(matches: DataFrame, nwords: int = 125, prop_before: float = 0.125) -> DataFrame:
-    """Context string for any table of (text, term, start, end).
-
-    Splits the text per row: meant for short texts or few matches, :func:`match_contexts`
-    is the path for whole labels.
-    """
+    """Context string for any table of (text, term, start, end)."""
     n_before, n_after = context_sizes(F.col("term"), nwords, prop_before)
     before, after = words_around(
         F.col("text"), F.col("start"), F.col("end") + 1, n_before, n_after
@@ -247,7 +258,7 @@ def match_contexts(
     texts: DataFrame, vocab: DataFrame, nwords: int = 125, prop_before: float = 0.125, **how
 ) -> DataFrame:
     """Match and build contexts in one pass over the texts."""
-    return with_window_context(find_terms(texts, vocab, **how), nwords, prop_before)
+    return find_terms(texts, vocab, derive={"context": context(nwords, prop_before)}, **how)
 
 
 def number_matches(matches: DataFrame, name: str = "match_id") -> DataFrame:
@@ -302,36 +313,41 @@ def random_words(word_array: Column, n: int, key: Column, seed: int = 222) -> Co
     )
 
 
-def make_example(
-    hits: DataFrame, method: int, nwords: int, source: str = "exact", name: str = "string",
-    key: str = "text_id",
-) -> DataFrame:
-    """Example string for each hit of :func:`find_terms` in one of the 16 styles."""
+def example(method: int, nwords: int, source: str = "exact", key: str = "text_id") -> Derive:
+    """Example string of a hit in one of the 16 styles."""
     if method not in EXAMPLE_STYLES:
         raise ValueError(f"Unknown method {method}. Expected 0-15.")
     replace, nonsense, term_first, source_first, prop, shuffled = EXAMPLE_STYLES[method]
-    term = F.col("term")
-    if shuffled:
-        ident = F.concat_ws("|", F.col(key), F.col("start"), F.col("term_id"))
-        return hits.withColumn(
-            name, F.array_join(random_words(F.col("_words"), nwords, ident), " ")
-        )
-    if nwords == 3:
-        return hits.withColumn(name, term)
-    n_before, n_after = context_sizes(term, nwords, prop)
-    tag = F.lit("exact" if source == "exact" else "split")
-    pieces = []
-    if term_first:
-        pieces.append(F.array(term))
-    if source_first:
-        pieces.append(F.array(tag))
-    if prop > 0:
-        pieces.append(window_before(n_before))
-    event = F.lit(NONSENSE) if nonsense else F.lit("EVENT") if replace else term
-    pieces.append(F.array(event))
-    if prop < 1:
-        pieces.append(window_after(n_after))
-    return hits.withColumn(name, F.array_join(F.concat(*pieces), " "))
+
+    def make(h: Column, w: Column) -> Column:
+        term = h["term"]
+        if shuffled:
+            ident = F.concat_ws("|", F.col(key), h["start"], h["term_id"])
+            return F.array_join(random_words(w, nwords, ident), " ")
+        if nwords == 3:
+            return term
+        n_before, n_after = context_sizes(term, nwords, prop)
+        pieces = []
+        if term_first:
+            pieces.append(F.array(term))
+        if source_first:
+            pieces.append(F.array(F.lit("exact" if source == "exact" else "split")))
+        if prop > 0:
+            pieces.append(window_before(h, w, n_before))
+        pieces.append(F.array(F.lit(NONSENSE) if nonsense else F.lit("EVENT") if replace else term))
+        if prop < 1:
+            pieces.append(window_after(h, w, n_after))
+        return F.array_join(F.concat(*pieces), " ")
+
+    return make
+
+
+def match_examples(
+    texts: DataFrame, vocab: DataFrame, method: int, nwords: int, name: str = "string",
+    source: str = "exact", key: str = "text_id", **how,
+) -> DataFrame:
+    """Matches with their example string."""
+    return find_terms(texts, vocab, derive={name: example(method, nwords, source, key)}, **how)
 
 
 # --- spans -------------------------------------------------------------------------------
@@ -442,10 +458,9 @@ def span_coverage(
     joined = free.drop("source").distinct().join(
         spans, [key, "a_start", "a_stop", "term_text"], "left"
     )
-    gap = T.ArrayType(T.StructType.fromDDL("a int, b int"))
     step = F.aggregate(
         F.coalesce("_s", F.array().cast("array<struct<start:int,stop:int>>")),
-        F.struct(F.array().cast(gap).alias("gaps"), F.col("a_start").cast("int").alias("at")),
+        F.struct(F.array().cast(GAPS).alias("gaps"), F.col("a_start").cast("int").alias("at")),
         lambda acc, s: F.struct(
             F.when(
                 s["start"] > acc["at"],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import id_string, let, valid_id
-from ..operators.match import find_terms, make_example
+from ..operators.match import match_examples
 from ..operators.ontology import to_preferred
 from ..operators.relational import resolve_sections
 from ..schemas import REFERENCE_SET
@@ -100,12 +100,11 @@ def reference_set(
 
     A record's codes travel in its own row, so labelling needs no join with the matches.
     """
-    hits = find_terms(records, vocab, normalize=True)
+    keyed = records.withColumn("_key", F.concat_ws("|", "drug", "section", "tac"))
+    hits = match_examples(keyed, vocab, method, nwords, key="_key", normalize=True)
     names = vocab.groupBy(F.col("text_id").alias("term_id")).agg(F.max("text").alias("_name"))
     named = hits.join(names, "term_id", "left")
-    labelled = label_matches(to_preferred(named, preferred, "term_id", "_name"))
-    keyed = labelled.withColumn("_key", F.concat_ws("|", "drug", "section", "tac"))
-    examples = make_example(keyed, method, nwords, key="_key")
+    examples = label_matches(to_preferred(named, preferred, "term_id", "_name"))
     return examples.select(
         "section", "drug", "tac", F.col("term_id").alias("meddra_id"),
         F.col("pt_code").alias("pt_meddra_id"), F.lit("exact").alias("source_method"), "class",

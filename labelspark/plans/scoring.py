@@ -29,7 +29,9 @@ def score(
             out = [p for i in range(0, len(values), batch) for p in scorer(values[i:i + batch])]
             yield pd.DataFrame(out, columns=["pred0", "pred1"])
 
-    return matches.withColumn("_s", apply(F.col(text))).select(*matches.columns, "_s.*")
+    # not deterministic: a later score cut-off must not run the model again
+    scored = matches.withColumn("_s", apply.asNondeterministic()(F.col(text)))
+    return scored.select(*matches.columns, "_s.*")
 
 
 def classifier(n_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 20):

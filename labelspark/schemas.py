@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_STRING, _LONG, _INT, _DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+_SIMPLE = {"string": _STRING, "bigint": _LONG, "int": _INT, "double": _DOUBLE}
+
+
+def _struct(spec: str, **nested: T.DataType) -> T.StructType:
+    """A struct from "name type, ..." with simple types, nested fields appended."""
+    fields = []
+    for item in spec.split(","):
+        name, kind = item.split()
+        fields.append(T.StructField(name, _SIMPLE[kind]))
+    return T.StructType(fields + [T.StructField(n, t) for n, t in nested.items()])
 
 
 US_SECTIONS = ["AR", "BW", "WP", "WA", "PR", "SP", "OV"]
@@ -21,9 +30,8 @@ US_LABEL = _struct(
     + ", ".join(f"{s} string" for s in US_SECTIONS)
 )
 US_LABEL_JSON = _struct(
-    "set_id string, label_id string, spl_version string, title string, sections struct<"
-    + ", ".join(f"{s}: string" for s in US_SECTIONS)
-    + ">"
+    "set_id string, label_id string, spl_version string, title string",
+    sections=_struct(", ".join(f"{s} string" for s in US_SECTIONS)),
 )
 UK_LABEL = EU_LABEL = _struct("name string, code string, page_url string, text string")
 JP_LABEL = _struct("name string, code string, kegg_id string, page_url string, text string")
@@ -59,16 +67,25 @@ SCORE = _struct(
 )
 
 ANNOTATION_FILE = _struct(
-    "label_id string, section_name string, section_text string, "
-    "adverse_events array<array<string>>"
+    "label_id string, section_name string, section_text string",
+    adverse_events=T.ArrayType(T.ArrayType(_STRING)),
+)
+TOOL_SPAN = _struct(
+    "id string, entity_type string, term_text string, term_code string, pt_code string, "
+    "pt_name string, start bigint, end bigint, section_code string, source string",
+    extra_fields=T.MapType(_STRING, _STRING),
 )
 TOOL_ANNOTATION = _struct(
     "task_id string, label_id string, label_title string, annotator string, status string, "
-    "created_at string, updated_at string, notes string, "
-    "sections map<string, array<struct<id: string, entity_type: string, term_text: string, "
-    "term_code: string, pt_code: string, pt_name: string, start: bigint, `end`: bigint, "
-    "section_code: string, source: string, extra_fields: map<string, string>>>>"
+    "created_at string, updated_at string, notes string",
+    sections=T.MapType(_STRING, T.ArrayType(TOOL_SPAN)),
 )
+ARRIVAL = _struct("source string, product_id string, version string, section string, text string")
+HITS = T.ArrayType(_struct(
+    "term_id string, term string, start int, end int, "
+    "n_before int, head string, n_after int, tail string"
+))
+GAPS = T.ArrayType(_struct("a int, b int"))
 REFERENCE_SET = _struct(
     "section string, drug string, tac string, meddra_id string, pt_meddra_id string, "
     "source_method string, class string, pt_meddra_term string, found_term string, string string"

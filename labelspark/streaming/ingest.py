@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-LABEL_KEY = ["source", "product_id", "version"]
-
-ARRIVAL = T.StructType.fromDDL(
-    "source string, product_id string, version string, section string, text string"
-)
+from ..schemas import ARRIVAL
 
+LABEL_KEY = ["source", "product_id", "version"]
 
 def new_only(labels: DataFrame, done: DataFrame, keys: list[str] = LABEL_KEY) -> DataFrame:
     """Labels whose (source, product, version) has not been processed."""
