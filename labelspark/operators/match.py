@@ -43,6 +43,8 @@ def _build_index(terms: list[tuple[str, str]]):
         for code, term in terms:
             by_length.setdefault(len(term), {})[term] = code
         return sorted(by_length.items(), reverse=True)
+    if not terms:
+        return []
     automaton = ahocorasick.Automaton()
     for code, term in terms:
         automaton.add_word(term, (code, term))
