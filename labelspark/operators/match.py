@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import let, words
+from ..functions import words
 from ..schemas import GAPS, HITS
 from ..session import stage
 from .ordered import number_rows, running
@@ -143,8 +143,8 @@ def find_terms(
     ``term``, ``start`` and ``end`` (both from 0, end inclusive) and the ``derive`` columns, made
     from the hit record and the text's word array.
 
-    A narrow operation: no shuffle, and neither the text nor its words are copied per hit,
-    because derived columns are computed inside the hit array before it is exploded.
+    A narrow operation without a shuffle. Derived columns are made in the stage of the scan, so
+    neither the text nor its words ever reach a join or a shuffle with the hits.
     """
     ignore_case = normalize or not case
     dictionary = term_dictionary(vocab, lower=ignore_case)
@@ -155,23 +155,21 @@ def find_terms(
     others = [c for c in texts.columns if keep_text or c != "text"]
     base = ["term_id", "term", "start", "end"]
 
-    def records(hits: Column) -> Column:
-        made = derive or {}
-        return let(words("text"), lambda w: F.transform(hits, lambda h: F.struct(
-            *[h[c].alias(c) for c in base], *[fn(h, w).alias(n) for n, fn in made.items()]
-        )))
-
     passes = []
     for part in _vocabulary_parts(dictionary, max_bytes):
         scanned = texts.where(F.col("text").isNotNull()).withColumn(
             "_hits", _scanner(part)(F.col("text"))
         )
-        full = records(F.col("_hits")) if derive else F.col("_hits")
-        passes.append(scanned.withColumn("_hits", full).select(*others, F.explode("_hits").alias("_h")))
+        # words are split before the explode: once per text, not once per hit
+        held = ["_words"] if derive else []
+        if derive:
+            scanned = scanned.withColumn("_words", words("text"))
+        passes.append(scanned.select(*others, *held, F.explode("_hits").alias("_h")))
     out = passes[0]
     for more in passes[1:]:
         out = out.unionByName(more)
-    return out.select(*others, *[F.col("_h")[c].alias(c) for c in [*base, *(derive or {})]])
+    made = [fn(F.col("_h"), F.col("_words")).alias(n) for n, fn in (derive or {}).items()]
+    return out.select(*others, *[F.col("_h")[c].alias(c) for c in base], *made)
 
 
 match_terms = find_terms
@@ -180,12 +178,15 @@ match_terms = find_terms
 # --- contexts ----------------------------------------------------------------------------
 
 
+def _pick(arr: Column, first: Column, n: Column) -> Column:
+    """n elements from position ``first`` (from 0) on."""
+    return F.when(n > 0, F.slice(arr, first + 1, n)).otherwise(F.array().cast("array<string>"))
+
+
 def _last(arr: Column, upto: Column, n: Column) -> Column:
     """The n array elements that end at position ``upto``."""
     size = F.least(n, upto)
-    return F.when(size > 0, F.slice(arr, upto - size + 1, size)).otherwise(
-        F.array().cast("array<string>")
-    )
+    return _pick(arr, upto - size, size)
 
 
 def window_before(h: Column, w: Column, n: Column) -> Column:
@@ -198,8 +199,8 @@ def window_before(h: Column, w: Column, n: Column) -> Column:
 def window_after(h: Column, w: Column, n: Column) -> Column:
     """The n words after a hit."""
     cut = h["tail"] != ""
-    room = F.greatest(n - cut.cast("int"), F.lit(0))
-    whole = F.slice(w, h["n_after"] + 1, room)
+    room = F.least(n - cut.cast("int"), F.size(w) - h["n_after"])
+    whole = _pick(w, h["n_after"], room)
     return F.when(cut & (n > 0), F.array_prepend(whole, h["tail"])).otherwise(whole)
 
 
