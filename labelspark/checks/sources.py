@@ -294,4 +294,3 @@ def _(t):
     return longs(X.page_urls(idx, "counter", "first_url", size=40).select("c_custkey", "page_no", "page_url"), "page_no")
 
 
-_ = rounded
