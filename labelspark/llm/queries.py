@@ -39,3 +39,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return q.judge(docs, q.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_jaccard_join", """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+        FROM words),
+    heads AS (SELECT min(doc_id) AS doc_id, s FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
+    items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM heads),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+        WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 180 * count(*) >= 80 * (a.n + b.n)),
+    reach AS (SELECT doc_id AS id, doc_id AS c FROM heads UNION SELECT b, c FROM reach JOIN links ON a = id),
+    classes AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id
+    FROM sets s LEFT JOIN heads h ON h.s = list_sort(s.s) LEFT JOIN classes c ON c.id = h.doc_id""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_classes
+
+    return jaccard_classes(table(spark, sf_dir, "documents"))
