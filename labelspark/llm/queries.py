@@ -64,3 +64,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_classes
 
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
