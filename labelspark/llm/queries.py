@@ -71,3 +71,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"))
