@@ -78,3 +78,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op9_bpe_replay")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe_replay import encode
+
+    return encode(table(spark, sf_dir, "documents"), digests=True)
