@@ -85,3 +85,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe_replay import encode
 
     return encode(table(spark, sf_dir, "documents"), digests=True)
+
+
+@query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
