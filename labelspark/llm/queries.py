@@ -99,3 +99,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_chat_format", r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    escaped AS (
+        SELECT *, length(replace(replace(replace(text, '\', '\s'), '###', '\h'), '</turn>', '\t')) AS n,
+               length(replace(replace(replace(replace(role, '\', '\s'), '###', '\h'), '</turn>', '\t'), chr(10), '\n')) AS r
+        FROM rows)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(4 + r + 1 + n + 8) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat_format as c
+
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    records = rows.select("conv_id", "turn", F.to_variant_object(F.struct("role", "text")).alias("record"))
+    return c.digests(c.format_records(records, order_col="turn"))
+
+
+@query("op3_ann_search")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann_search import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter("vec_id % 50 = 0"))
