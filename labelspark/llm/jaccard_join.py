@@ -296,23 +296,63 @@ def _part(shingle: Column, doc_id: Column) -> Column:
     return F.when(_is_hot(shingle), F.pmod(F.xxhash64(doc_id), F.lit(SALTS))).otherwise(0).cast("int")
 
 
-def _close_sizes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Only pairs whose smaller set has at least 0.8 times the shingles of the larger one can link."""
+def _able(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Of ``a, b, shared`` the pairs that can still link, from the number of short lists that hold both.
+
+    Sizes must be within 0.8 of each other. And with T = ceil(0.8 n) the larger set's bound: what two sets share beyond
+    their short lists lies among the last T - 1 shingles of one of them, so ``shared`` must make up the rest.
+    """
     x, y = (sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    near = 5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")
-    return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b")
+    large = F.greatest("n_a", "n_b")
+    near = 5 * F.least("n_a", "n_b") >= 4 * large
+    enough = F.col("shared") >= F.expr("(4 * (n_a + n_b) + 8) div 9") - F.expr("(4 * greatest(n_a, n_b) + 4) div 5") + 1
+    return pairs.join(x, "a").join(y, "b").filter(near & enough).select("a", "b")
 
 
 def _stars(lists: DataFrame, centre) -> DataFrame:
-    """Each member with its part's centre, each part's centre with its list's."""
-    rows = lists.select("shingle", "part", "doc_id")
-    parts = rows.groupBy("shingle", "part").agg(centre("doc_id").alias("c"), F.count("*").alias("k"))
-    inner = rows.join(parts.filter("k > 1").hint("shuffle_hash"), ["shingle", "part"]).select(
-        F.col("c").alias("a"), F.col("doc_id").alias("b"))
-    hot = parts.filter(_is_hot(F.col("shingle")))
-    tops = hot.groupBy("shingle").agg(centre("c").alias("top"))
-    outer = hot.join(tops, "shingle").select(F.col("top").alias("a"), F.col("c").alias("b"))
-    return inner.union(outer).filter("a <> b").distinct()
+    """Each member with its part's centre, each part's centre with its list's, where their classes differ."""
+    rows = lists.select("shingle", "part", F.struct("doc_id", "class").alias("m"))
+    parts = rows.groupBy("shingle", "part").agg(centre(F.col("m")).alias("c"), F.count("*").alias("k"))
+    inner = rows.join(parts.filter("k > 1").hint("shuffle_hash"), ["shingle", "part"]).select("c", "m")
+    hot = parts.filter(_is_hot(F.col("shingle"))).select("shingle", F.col("c").alias("m"))
+    tops = hot.groupBy("shingle").agg(centre(F.col("m")).alias("c"))
+    return inner.union(hot.join(tops, "shingle").select("c", "m")).filter("c.class <> m.class").select(
+        F.col("c.doc_id").alias("a"), F.col("m.doc_id").alias("b"))
+
+
+def _open(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lists whose members are of several classes, with each member's class."""
+    known = lists.join(classes, lists["doc_id"] == classes["id"], "left").select(
+        "shingle", "part", "doc_id", F.coalesce("component", "doc_id").alias("class"))
+    mixed = known.groupBy("shingle").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y")
+    return stage(known.join(mixed.hint("shuffle_hash"), "shingle").select("shingle", "part", "doc_id", "class"), "open")
+
+
+def _classes(lists: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``id, component`` of the documents that link with another one.
+
+    Stars about several centres go on while they find links; then every able pair across classes is searched.
+    """
+
+    def search(pairs: DataFrame) -> DataFrame:
+        shared = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").groupBy(
+            "a", "b").agg(F.count("*").alias("shared"))
+        return stage(_search(stage(_able(shared, sizes), "pairs"), texts), "links")
+
+    links = search(_stars(lists.withColumn("class", F.col("doc_id")), F.min))
+    classes = components(links)
+    for centre in (F.max, lambda m: F.min_by(m, F.xxhash64(m["doc_id"])), lambda m: F.max_by(m, F.xxhash64(m["doc_id"]))):
+        rest = _open(lists, classes)
+        found = search(_stars(rest, centre))
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        classes = components(links)
+        rest = None
+    rest = _open(lists, classes) if rest is None else rest
+    left, right = (rest.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}")) for d in "ab")
+    found = search(left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b"))
+    return classes if found.isEmpty() else components(links.union(found))
 
 
 def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,36 +379,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     lists = stage(map_arrow(dealt.sortWithinPartitions("shingle", "part"), _shared_lists,
                             "shingle long, doc_id long, part int"), "lists")
 
-    links, tried, classes = None, None, None
-    centres = [F.min, F.max, lambda c: F.min_by(c, F.xxhash64(c)), None]
-    for centre in centres:
-        if classes is None:
-            open_lists = lists.withColumn("class", F.col("doc_id"))
-        else:
-            known = lists.join(classes, lists["doc_id"] == classes["id"], "left").select(
-                "shingle", "part", "doc_id", F.coalesce("component", "doc_id").alias("class"))
-            mixed = known.groupBy("shingle").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y")
-            open_lists = stage(known.join(mixed.hint("shuffle_hash"), "shingle").select("shingle", "part", "doc_id", "class"), "open")
-            if open_lists.isEmpty():
-                break
-        if centre is None:
-            left, right = (open_lists.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}"))
-                           for d in "ab")
-            pairs = left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b").distinct()
-        else:
-            pairs = _stars(open_lists, centre)
-            if classes is not None:
-                c = [classes.select(F.col("id").alias(d), F.col("component").alias(f"class_{d}")) for d in "ab"]
-                pairs = pairs.join(c[0], "a", "left").join(c[1], "b", "left").filter(
-                    F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(_close_sizes(pairs, people), "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = stage(_search(pairs, texts), "links")
-        links = found if links is None else links.union(found)
-        classes = components(links)
+    classes = _classes(lists, people, texts)
     out = sizes.join(heads.withColumnRenamed("n", "size"), (sizes["digest"] == heads["digest"]) & (sizes["n"] == F.col("size")), "left")
     return out.join(classes, F.col("head") == classes["id"], "left").select(
         "doc_id", sizes["n"].cast("long").alias("n_shingles"), F.coalesce("component", "head", "doc_id").alias("component_id"))
