@@ -16,6 +16,7 @@ import heapq
 from array import array
 from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Batches, bpe_ranks, map_arrow, narrow, tokenizer_path
+from .tokens import SPLIT, is_older, older_split
 
 MAX_WORDS = 1 << 19  # words in the table that every task gets: some 20 MB at most
 MAX_WORD_BYTES = 64  # longer words are replayed where they occur
@@ -100,6 +102,15 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     return out
 
 
+def splitter(pattern: str):
+    """The function that splits a text into the matches of a pattern."""
+    plain = regex.compile(pattern).findall
+    if pattern != SPLIT:
+        return plain
+    older = older_split().findall
+    return lambda text: older(text) if is_older(text) else plain(text)
+
+
 def _pattern() -> str:
     import public_tokenizers
 
@@ -108,7 +119,7 @@ def _pattern() -> str:
 
 def _count(batches: Batches, pattern: str) -> Batches:
     """Words of a task's texts with how often they occur; the tally is emptied before it grows large."""
-    findall, tally = regex.compile(pattern).findall, Counter()
+    findall, tally = splitter(pattern), Counter()
 
     def out() -> pa.RecordBatch:
         words = [w.encode("utf-8", "surrogatepass") for w in tally]
@@ -147,13 +158,13 @@ class Coder:
 
     def __init__(self, vocabulary: str, pattern: str, table: dict[str, bytes]):
         self.ranks, self.text = merges(tokenizer_path(vocabulary))
-        self.findall, self.table, self.own = regex.compile(pattern).findall, table, {}
+        self.findall, self.table, self.own = splitter(pattern), table, {}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         split = [self.findall(t) for t in texts]
         if len(self.own) > KEPT:
             self.own.clear()
-        missing = list({w for words in split for w in words} - self.table.keys() - self.own.keys())
+        missing = list(set(chain.from_iterable(split)) - self.table.keys() - self.own.keys())
         for w, ids in zip(missing, replay([w.encode("utf-8", "surrogatepass") for w in missing], self.ranks)):
             self.own[w] = array("I", ids).tobytes()
         table, own = self.table, self.own

@@ -5,13 +5,40 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import cache
+from itertools import chain
 
 import regex
 
 # Fixed value: the split that the vocabulary's byte-level pre-tokenizer makes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Beyond this character the library's tables of letters and digits and ours may be of different Unicode versions.
-_NEWER = re.compile("[԰-\U0010ffff]")
+# From this character on, the library's tables of letters and digits and ours may be of different Unicode versions.
+NEWER = 0x530
+_NEWER = re.compile(f"[{chr(NEWER)}-\U0010ffff]")
+
+
+def _ranges(kind: str) -> str:
+    """The characters below ``NEWER`` of a regex class, as ranges for a character class of ``re``."""
+    of, out = regex.compile(kind), []
+    for c in range(NEWER):
+        if of.match(chr(c)):
+            if out and out[-1][1] == c - 1:
+                out[-1][1] = c
+            else:
+                out.append([c, c])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in out)
+
+
+@cache
+def older_split() -> re.Pattern:
+    """``SPLIT`` for texts below ``NEWER``, with its classes spelt out: ``re`` reads it twice as fast."""
+    text = SPLIT.replace(r"[^\s\p{L}\p{N}]", "[^{s}{l}{n}]").replace(r"(?!\S)", "(?![^{s}])")
+    text = text.replace(r"\s", "[{s}]").replace(r"\p{L}", "[{l}]").replace(r"\p{N}", "[{n}]")
+    return re.compile(text.format(s=_ranges(r"\s"), l=_ranges(r"\p{L}"), n=_ranges(r"\p{N}")))
+
+
+def is_older(text: str) -> bool:
+    return not _NEWER.search(text)
 
 
 def library(path: str):
@@ -31,20 +58,20 @@ class Encoder:
     may differ, go to the library whole. ``cache`` bounds the remembered words.
     """
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 500_000):
         self.tokenizer = library(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.findall, self.cache, self.words = regex.compile(SPLIT).findall, cache, {}
+        self.findall, self.cache, self.words = older_split().findall, cache, {}
 
     def plain(self, text: str) -> bool:
-        return not _NEWER.search(text) and not any(s in text for s in self.special)
+        return is_older(text) and not any(s in text for s in self.special)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has none."""
         split = [self.findall(t) if t and self.plain(t) else None for t in texts]
         if len(self.words) > self.cache:
             self.words.clear()
-        missing = list({w for words in split if words for w in words} - self.words.keys())
+        missing = list(set(chain.from_iterable(filter(None, split))) - self.words.keys())
         for lo in range(0, len(missing), 20_000):
             part = missing[lo:lo + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
