@@ -130,11 +130,12 @@ def _(t):
 # --- incremental ----------------------------------------------------------------------------
 
 
-def _arrivals(t, text="text"):
+def _arrivals(t, delivery=1, text="text", section="AR"):
     doc = F.col("doc_id")
     return t.documents().select(
         F.when(doc % 2 == 0, "US").otherwise("UK").alias("source"), doc.cast("string").alias("product_id"),
-        (doc % 3).cast("string").alias("version"), F.lit("AR").alias("section"), F.expr(text).alias("text"))
+        (doc % 3).cast("string").alias("version"), F.lit(section).alias("section"), F.expr(text).alias("text"),
+        F.lit(delivery).cast("bigint").alias("delivery"))
 
 
 @query("i1_new_only", """
@@ -147,7 +148,8 @@ def _(t):
 
 
 @query("i2_stream_labels", """
-    SELECT CASE WHEN CAST(text_id AS BIGINT) % 2 = 0 THEN 'US' ELSE 'UK' END AS source, text_id AS product_id, term_id, start FROM matches""")
+    SELECT CASE WHEN CAST(text_id AS BIGINT) % 2 = 0 THEN 'US' ELSE 'UK' END AS source, text_id AS product_id, section, term_id, start
+    FROM matches, (VALUES ('AR'), ('WP')) AS s(section) WHERE section = 'AR' OR CAST(text_id AS BIGINT) % 4 < 2""")
 def _(t):
     inbox, sink, ckpt = (scratch_path(t.spark, n) for n in ("inbox", "sink", "ckpt"))
     vocab = t.vocabulary()
@@ -155,12 +157,17 @@ def _(t):
     def process(batch):
         return match_contexts(batch, vocab)
 
-    # half of the labels, then all of them again with other text: only unseen ones count
-    first = _arrivals(t).where("product_id % 4 < 2")
-    again = _arrivals(t, "text").withColumn(
-        "text", F.when(F.expr("product_id % 4 < 2"), F.lit("changed ")).otherwise(F.col("text")))
-    for delivery in (first, again):
-        delivery.write.mode("append").parquet(inbox)
+    early = "product_id % 4 < 2"
+    # some labels come early, some of them twice in one batch; a batch later their other section and, for all labels, a
+    # second delivery, which only counts where there was no first one
+    batches = [
+        [_arrivals(t).where(early), _arrivals(t, 2, "'changed '").where("product_id % 4 = 0")],
+        [_arrivals(t, section="WP").where(early),
+         _arrivals(t, 2, "CASE WHEN doc_id % 4 < 2 THEN 'changed ' ELSE text END")],
+    ]
+    for deliveries in batches:
+        for rows in deliveries:
+            rows.write.mode("append").parquet(inbox)
         stream_labels(t.spark, inbox, sink, ckpt, process).awaitTermination()
     rows = t.spark.read.parquet(f"{sink}/rows")
-    return longs(rows.select("source", "product_id", "term_id", "start"), "start")
+    return longs(rows.select("source", "product_id", "section", "term_id", "start"), "start")

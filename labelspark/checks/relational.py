@@ -510,11 +510,14 @@ def _(t):
 
 
 @query("f11_slug", r"""
-    SELECT doc_id, CASE WHEN strlen(c) > 220 THEN NULL WHEN c = '' THEN 'medicine_' || substr(md5(raw), 1, 12) ELSE c END AS slug
+    SELECT doc_id, CASE WHEN strlen(c) > 220 THEN substr(c, 1, list_max(list_filter(range(52, 212), lambda n: strlen(substr(c, 1, n)) <= 211)))
+               || '_' || substr(md5(raw), 1, 8) WHEN c = '' THEN 'medicine_' || substr(md5(raw), 1, 12) ELSE c END AS slug
     FROM (SELECT doc_id, raw, regexp_replace(replace(lower(raw), ' ', '_'), '[^\p{L}\p{N}_\-]', '', 'g') AS c
-          FROM (SELECT doc_id, substr(text, 1, doc_id % 90) AS raw FROM documents))""")
+          FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN lang WHEN doc_id % 7 = 2 THEN '?!' || source ELSE text END AS raw FROM documents))""")
 def _(t):
-    return t.documents().select("doc_id", fn.slug(F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 90).cast("int"))).alias("slug"))
+    return t.documents().select("doc_id", fn.slug(
+        F.when(F.col("doc_id") % 7 == 1, F.col("lang")).when(F.col("doc_id") % 7 == 2, F.concat(F.lit("?!"), "source"))
+        .otherwise(F.col("text"))).alias("slug"))
 
 
 @query("f12_array_terms", """

@@ -73,8 +73,8 @@ def strip_tokens(c: Column | str, *tokens: str) -> Column:
 
 
 def matches_any(c: Column | str, patterns: list[str]) -> Column:
-    """True where one of the patterns is found, ignoring case."""
-    return F.rlike(_col(c), F.lit("(?i)" + "|".join(patterns)))
+    """True where one of the patterns is found, ignoring case; blanks and word edges are those of Unicode."""
+    return F.rlike(_col(c), F.lit("(?iU)" + "|".join(patterns)))
 
 
 def non_null_terms(*cols: Column | str) -> Column:
@@ -87,19 +87,19 @@ def url(*parts: Column | str) -> Column:
 
 
 def _without_dosage(name: Column) -> Column:
-    cut = F.regexp_replace(strip(name), rf"(?i)([\s,]+({DOSAGE_WORDS}))+\s*$", "")
+    cut = F.regexp_replace(strip(name), rf"(?iU)([\s,]+({DOSAGE_WORDS}))+\s*$", "")
     return F.regexp_replace(cut, r"[ ,]+$", "")
 
 
 def drug_name(title: Column | str) -> Column:
     """Drug name read out of a label title, at most 80 characters when guessed."""
     t = F.coalesce(_col(title), F.lit(""))
-    to_use = _without_dosage(F.regexp_extract(t, r"(?i)to use\s+(.+?)\s+safely", 1))
+    to_use = _without_dosage(F.regexp_extract(t, r"(?iU)to use\s+(.+?)\s+safely", 1))
     info_for = _without_dosage(
-        F.regexp_extract(t, r"(?i)prescribing information for\s+(.+?)[.\n]", 1)
+        F.regexp_extract(t, r"(?iU)prescribing information for\s+(.+?)[.\n]", 1)
     )
     first = strip(F.split(t, "\n")[0])
-    first = strip(F.regexp_replace(first, r"(?i)^HIGHLIGHTS OF PRESCRIBING INFORMATION\s*", ""))
+    first = strip(F.regexp_replace(first, r"(?iU)^HIGHLIGHTS OF PRESCRIBING INFORMATION\s*", ""))
     first = strip(F.regexp_replace(first, r"(?i)^These highlights.*", ""))
     blank_to_null = [F.nullif(c, F.lit("")) for c in (to_use, info_for, F.substring(first, 1, 80))]
     return F.coalesce(*blank_to_null, F.substring(t, 1, 80))
@@ -113,13 +113,14 @@ def slug(name: Column | str, max_bytes: int = 220) -> Column:
     room = max_bytes - 9
     # the longest prefix that fits has between room/4 and room characters
     lengths = F.sequence(F.lit(room // 4), F.lit(room))
-    fitting = F.filter(
-        lengths, lambda n: F.octet_length(F.substring(clean, F.lit(1), n)) <= room
-    )
-    cut = F.substring(clean, F.lit(1), F.array_max(fitting))
-    return (
-        F.when(F.octet_length(clean) > max_bytes,
-               F.concat(cut, F.lit("_"), F.substring(digest, 1, 8)))
-        .when(clean == "", F.concat(F.lit("medicine_"), F.substring(digest, 1, 12)))
-        .otherwise(clean)
-    )
+
+    def shortened(clean: Column) -> Column:
+        fitting = F.filter(lengths, lambda n: F.octet_length(F.substring(clean, F.lit(1), n)) <= room)
+        cut = F.substring(clean, F.lit(1), F.array_max(fitting))
+        return (
+            F.when(F.octet_length(clean) > max_bytes, F.concat(cut, F.lit("_"), F.substring(digest, 1, 8)))
+            .when(clean == "", F.concat(F.lit("medicine_"), F.substring(digest, 1, 12)))
+            .otherwise(clean)
+        )
+
+    return let(clean, shortened)

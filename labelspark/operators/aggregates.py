@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import n_chars, n_words, ratio, valid_id
 from ..schemas import SOURCES
+from .joins import null_safe_join
 
 
 def count_by(df: DataFrame, key: str, name: str = "n") -> DataFrame:
@@ -92,9 +93,7 @@ def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     pull it into one.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    renamed = counts.select(*[F.col(k).alias(f"_g_{k}") for k in keys], name)
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_g_{k}"]) for k in keys])
-    return df.join(renamed, cond, "left").select(*df.columns, name)
+    return null_safe_join(df, counts, keys, "left")
 
 
 def flag1(events: DataFrame, keys: list[str], pt: str = "pt_id") -> DataFrame:
@@ -118,7 +117,7 @@ def share_in_group(df: DataFrame, group: str, value: str, by: str) -> DataFrame:
     """Distinct values per (group, by) with the group's total and the share."""
     hits = df.groupBy(group, by).agg(F.countDistinct(value).alias("n"))
     total = df.groupBy(group).agg(F.countDistinct(value).alias("total"))
-    return hits.join(total, group).withColumn("fraction", ratio("n", "total"))
+    return null_safe_join(hits, total, [group]).withColumn("fraction", ratio("n", "total"))
 
 
 def code_sets(events: DataFrame, keys: list[str], codes: list[str]) -> DataFrame:
@@ -196,7 +195,7 @@ def length_stats(df: DataFrame, by: list[str], measure: Column, name: str) -> Da
 def text_length_stats(records: DataFrame, by: list[str], text: str = "section_text") -> DataFrame:
     words = length_stats(records, by, n_words(text), "words")
     chars = length_stats(records, by, n_chars(text), "chars")
-    return words.join(chars, by)
+    return null_safe_join(words, chars, by)
 
 
 def class_balance(refset: DataFrame, keys: list[str] = ["drug", "section"]) -> DataFrame:

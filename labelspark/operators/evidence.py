@@ -30,8 +30,8 @@ ANIMAL_PATTERNS = [
     r"\b(?:embryo|fetal)\s*[-–]?\s*(?:lethality|toxicity|death)\b",
     r"\bprenatal\s+and\s+postnatal\b",
 ]
-# A blank line, or a line break in front of a numbered heading.
-PARAGRAPH_BREAK = r"(?U)\n\s*\n|\n(?=\s*\d+\.\d+\s)"
+# Fixed value: a blank line, or a line break in front of a numbered heading; blanks are those of Unicode.
+PARAGRAPH_BREAK = r"\n\s*\n|\n(?=\s*\d+\.\d+\s)"
 
 
 def classify_evidence(text: Column | str) -> Column:
@@ -46,14 +46,13 @@ def classify_evidence(text: Column | str) -> Column:
 def paragraph_array(text: Column | str) -> Column:
     """Paragraphs as (start, stop, text); a paragraph begins at its break.
 
-    Breaks are marked with a control character and the text is split on it, which keeps every
-    character of the text in one of the pieces.
+    Breaks are marked with two control characters and the text is split on them. A first such character of the
+    text itself is followed by another second one meanwhile, so every character stays in its piece.
     """
-    mark = "\x00"
-    col = F.col(text) if isinstance(text, str) else text
-    # a zero-width split in front of each break: breaks are consumed whole, so mark them first
-    marked = F.regexp_replace(col, f"({PARAGRAPH_BREAK.removeprefix('(?U)')})", f"{mark}$1")
-    pieces = F.split(marked, mark)
+    nul, own, mark = "\x00", "\x00\x01", "\x00\x02"
+    col = F.replace(F.col(text) if isinstance(text, str) else text, F.lit(nul), F.lit(own))
+    marked = F.regexp_replace(col, f"(?U)({PARAGRAPH_BREAK})", f"{mark}$1")
+    pieces = F.transform(F.split(marked, mark), lambda p: F.replace(p, F.lit(own), F.lit(nul)))
     return F.aggregate(
         pieces,
         F.array().cast("array<struct<start:int,stop:int,paragraph:string>>"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import squeeze
 from ..functions.text import SPACE
+from .joins import null_safe_join
 from ..schemas import US_LABEL, US_SECTIONS
 
 # The section codes of a structured product label.
@@ -36,7 +37,10 @@ def _spl_row(xml: str, codes: dict[str, str]) -> dict:
     """Ids, title and sections of one XML label."""
     import xml.etree.ElementTree as ET
 
-    root = ET.fromstring(xml)
+    try:
+        root = ET.fromstring(xml)
+    except ET.ParseError as e:
+        return {"error": str(e)}
     texts: dict[str, list[str]] = {c: [] for c in codes.values()}
     first: dict[str, object] = {}
     for parent in root.iter():
@@ -55,16 +59,30 @@ def _spl_row(xml: str, codes: dict[str, str]) -> dict:
 
 
 def spl_sections(docs: DataFrame, codes: dict[str, str] = SECTION_CODES) -> DataFrame:
-    """XML labels (``xml``) -> set_id, label_id, version, title and one column per section."""
+    """XML labels (``xml``) -> set_id, label_id, version, title and one column per section.
+
+    Documents that are no XML give no row; :func:`spl_rejected` lists them.
+    """
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([_spl_row(x, codes) for x in batch["xml"]], columns=columns)
+            rows = (_spl_row(x, codes) for x in batch["xml"])
+            yield pd.DataFrame([r for r in rows if "error" not in r], columns=columns)
 
     columns = ["set_id", "label_id", "spl_version", "title", *codes]
     schema = US_LABEL if list(codes) == US_SECTIONS else ", ".join(f"{c} string" for c in columns)
     return docs.select("xml").where("xml is not null").mapInPandas(parse, schema)
 
 
+def spl_rejected(docs: DataFrame) -> DataFrame:
+    """The documents that :func:`spl_sections` cannot read, with the parser's message."""
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            errors = [(x, _spl_row(x, {}).get("error")) for x in batch["xml"]]
+            yield pd.DataFrame([e for e in errors if e[1]], columns=["xml", "error"])
+
+    return docs.select("xml").where("xml is not null").mapInPandas(check, "xml string, error string")
+
+
 # --- HTML --------------------------------------------------------------------------------
 
 _BLOCK = {
@@ -245,7 +263,7 @@ def html_tables(pages: DataFrame, key: str) -> DataFrame:
 def pad_rows(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Rows filled with '' up to the widest row of their table."""
     width = cells.groupBy(*keys).agg(F.max(F.size("cells")).alias("_w"))
-    return cells.join(width, keys).withColumn(
+    return null_safe_join(cells, width, keys).withColumn(
         "cells",
         F.concat("cells", F.array_repeat(F.lit(""), F.col("_w") - F.size("cells"))),
     ).select(*cells.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strip_tokens
+from ..session import stage
 
 DRUG_VOCABULARIES = ["RxNorm", "RxNorm Extension"]
 
@@ -157,46 +158,46 @@ def ingredient_paths(
 ) -> DataFrame:
     """Distinct (product_id, ingredient_id) reachable over the allowed class paths.
 
-    Paths are walked as a prefix tree: a hop shared by several paths is joined once, and each
-    hop keeps distinct (product, node) pairs so that many-to-many edges cannot multiply rows.
+    The paths form a prefix tree whose nodes are states. All of them are walked together, level by level: a frontier
+    of distinct (product, node, state) rows meets the edges once and the small table of transitions once, so the
+    number of joins grows with the longest path, not with the number of paths.
     """
     classes = class_table(strict_parity)
     wanted = usable_paths(paths)
     drugs = nodes.where(F.col("vocabulary_id").isin(*DRUG_VOCABULARIES))
+    spark = nodes.sparkSession
+    states = {(): 0}
+    moves = []
+    for path in wanted:
+        for depth in range(1, len(path) + 1):
+            head = tuple(path[:depth])
+            if head not in states:
+                states[head] = len(states)
+                moves += [(states[head[:-1]], c, states[head], list(head) in wanted) for c in classes[head[-1]]]
+    # fixed by the declared paths: some rows per step
+    step = F.broadcast(spark.createDataFrame(moves, "_state int, _class string, _next int, _ends boolean"))
     # every edge between drug nodes, with the class it leads to
-    hops = (
+    hops = stage(
         edges.select("concept_id_1", "concept_id_2").distinct()
         .join(drugs.select(F.col("concept_id").alias("concept_id_2"),
                            F.col("concept_class_id").alias("_class"),
-                           F.col("concept_code").alias("_code")), "concept_id_2")
-    )
-    starts = mapped.select(F.col(product).alias("product_id")).distinct().join(
+                           F.col("concept_code").alias("_code")), "concept_id_2"), "hops")
+    at = mapped.select(F.col(product).alias("product_id")).distinct().join(
         drugs.select(F.col("concept_code").alias("product_id"), "concept_id",
                      F.col("concept_class_id").alias("_class"),
                      F.col("concept_code").alias("_code")), "product_id"
-    )
-    found: list[DataFrame] = []
-
-    def walk(prefix: tuple[str, ...], at: DataFrame) -> None:
-        if list(prefix) in wanted:
-            found.append(at.select("product_id", F.col("_code").alias("ingredient_id")))
-        nexts = sorted({p[len(prefix)] for p in wanted
-                        if tuple(p[:len(prefix)]) == prefix and len(p) > len(prefix)})
-        for step in nexts:
-            if prefix:
-                reached = at.select("product_id", F.col("concept_id").alias("concept_id_1")).join(
-                    hops.where(F.col("_class").isin(*classes[step])), "concept_id_1"
-                ).select("product_id", F.col("concept_id_2").alias("concept_id"), "_code").distinct()
-            else:
-                reached = starts.where(F.col("_class").isin(*classes[step])).select(
-                    "product_id", "concept_id", "_code"
-                )
-            walk(prefix + (step,), reached)
-
-    walk((), starts)
-    if not found:
-        return starts.select("product_id", F.col("_code").alias("ingredient_id")).limit(0)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    ).withColumn("_state", F.lit(0))
+    found = None
+    for level in range(max(map(len, wanted), default=0)):
+        if level:
+            at = at.withColumnRenamed("concept_id", "concept_id_1").join(hops, "concept_id_1").select(
+                "product_id", F.col("concept_id_2").alias("concept_id"), "_class", "_code", "_state")
+        reached = at.join(step, ["_state", "_class"]).select(
+            "product_id", "concept_id", "_code", F.col("_next").alias("_state"), "_ends").distinct()
+        reached = stage(reached, "frontier")
+        done = reached.where("_ends").select("product_id", F.col("_code").alias("ingredient_id"))
+        found = done if found is None else found.unionByName(done)
+        at = reached.select("product_id", "concept_id", "_state")
+    if found is None:
+        return at.select("product_id", F.col("_code").alias("ingredient_id")).limit(0)
+    return found.distinct()

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
+from .joins import null_safe_join
 
+UNFOLD = 10_000  # copies that one row unfolds into at a time
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -78,7 +80,7 @@ def running(
     local = blocks.withColumns(
         {n: fold[how](n).over(upto) for n, (how, _) in columns.items()}
     )
-    joined = local.join(F.broadcast(carried), ["_block", *within], "left")
+    joined = null_safe_join(local, F.broadcast(carried), ["_block", *within], "left")
     totals = {}
     for name, (how, _) in columns.items():
         earlier = F.col(f"_c_{name}")
@@ -118,7 +120,10 @@ def with_surrogate_id(
     )
     order = keys + [c for c in columns if c not in keys]
     ends = running(counted, order, {"_last": ("sum", F.col("_copies"))})
-    first = F.col("_last") - F.col("_copies") + F.lit(start)
-    return ends.select(
-        F.explode(F.sequence(first, F.col("_last") + F.lit(start - 1))).alias(name), *columns
+    first, last = F.col("_last") - F.col("_copies") + F.lit(start), F.col("_last") + F.lit(start - 1)
+    # in two steps, so that no row becomes one huge array
+    chunks = ends.where("_copies > 0").select(
+        F.explode(F.sequence(first, last, F.lit(UNFOLD).cast("bigint"))).alias("_from"), last.alias("_to"), *columns)
+    return chunks.select(
+        F.explode(F.sequence("_from", F.least("_to", F.col("_from") + F.lit(UNFOLD - 1)))).alias(name), *columns
     )

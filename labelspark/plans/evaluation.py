@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
+from ..operators.joins import null_safe_join
 from ..operators.ordered import number_rows, running
 
 PARTS = ["train", "val", "test"]
@@ -27,11 +28,16 @@ def _cut(keys: DataFrame, order: list[str], bounds: list[float], names: list[str
     return placed.withColumn("split", part)
 
 
+def _present(key: str) -> Column:
+    missing = F.raise_error(F.lit(f"split key {key} is NULL")).cast("string")
+    return F.when(F.col(key).isNull(), missing).otherwise(F.col(key)).alias(key)
+
+
 def split_by_key(
     df: DataFrame, key: str, seed: int = 222, shares: tuple[float, ...] = (0.8, 0.1, 0.1)
 ) -> DataFrame:
-    """Rows with ``split`` train, val or test; a key lies in one part only."""
-    keys = df.select(key).distinct().withColumn("_h", shuffle_key(key, seed))
+    """Rows with ``split`` train, val or test; a key lies in one part only. A NULL key fails the job."""
+    keys = df.select(_present(key)).distinct().withColumn("_h", shuffle_key(key, seed))
     bounds = [shares[0], round(shares[0] + shares[1], 10)]
     parts = _cut(keys, ["_h", key], bounds, PARTS).select(key, "split")
     return df.join(parts, key)
@@ -56,8 +62,8 @@ def split(df: DataFrame, method: str = "24", seed: int = 222, key: str = "drug")
 
 
 def _by_score(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """Positives and negatives per distinct score, with their running totals from the top."""
-    counts = df.groupBy(*by, F.col(score).alias("threshold")).agg(
+    """Positives and negatives per distinct score, with their running totals from the top; unscored rows take no part."""
+    counts = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"),
         F.sum(1 - F.col(label).cast("bigint")).alias("neg"),
     )
@@ -78,7 +84,7 @@ def pr_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None)
     points = _by_score(df, label, score, by)
     totals = points.groupBy(*by).agg(F.sum("pos").alias("_p"))
     if by:
-        points = points.join(totals, by)
+        points = null_safe_join(points, totals, by)
         positives = F.col("_p")
     else:
         positives = totals.scalar()
@@ -125,7 +131,8 @@ def best_threshold(
 
 
 def metrics_by(df: DataFrame, key: str, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
-    """F1, precision, recall, AUROC and row count per key."""
+    """F1, precision, recall, AUROC and row count per key (NULL is one), over scored rows."""
+    df = df.where(F.col(score).isNotNull())
     above = F.col(score) > threshold
     event = F.col(label) == 1
     counts = df.groupBy(key).agg(
@@ -142,7 +149,7 @@ def metrics_by(df: DataFrame, key: str, threshold: float, label: str = "label",
         key, (1 - F.try_divide(F.col("_above"), (F.col("_p") * F.col("_n")).cast("double"))).alias("auroc")
     )
     p, r = ratio("tp", F.col("tp") + F.col("fp")), ratio("tp", F.col("tp") + F.col("fn"))
-    return counts.join(area, key).select(
+    return null_safe_join(counts, area, [key], "left").select(
         key, _f1(F.coalesce(p, F.lit(0.0)), F.coalesce(r, F.lit(0.0))).alias("f1"),
         F.coalesce(p, F.lit(0.0)).alias("precision"), F.coalesce(r, F.lit(0.0)).alias("recall"),
         "auroc", "n",

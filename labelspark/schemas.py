@@ -80,7 +80,7 @@ TOOL_ANNOTATION = _struct(
     "created_at string, updated_at string, notes string",
     sections=T.MapType(_STRING, T.ArrayType(TOOL_SPAN)),
 )
-ARRIVAL = _struct("source string, product_id string, version string, section string, text string")
+ARRIVAL = _struct("source string, product_id string, version string, section string, text string, delivery bigint")
 HITS = T.ArrayType(_struct(
     "term_id string, term string, start int, end int, "
     "n_before int, head string, n_after int, tail string"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,14 +37,19 @@ def get_spark(app: str = "labelspark", master: str | None = None, **conf: str) -
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only where the setting is absent (local tests).
+    On a local master without that setting a temporary folder stands in, which goes when the process ends. On a
+    cluster the setting is required: executors cannot see each other's or the driver's folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir is not set; master {master} needs a shared folder for staged tables")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="spark-labelspark-")
+        atexit.register(shutil.rmtree, _own_scratch[app], ignore_errors=True)
     return _own_scratch[app]
 
 

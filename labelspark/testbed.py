@@ -148,7 +148,7 @@ class Testbed:
 
     def us_labels(self) -> DataFrame:
         doc = F.col("doc_id")
-        return self.documents().where(doc % 4 == 0).select(
+        return self.documents().select(
             F.concat(F.lit("set"), doc.cast("string")).alias("set_id"),
             F.concat(F.lit("lab"), doc.cast("string")).alias("label_id"),
             (doc % 5).cast("string").alias("spl_version"),
@@ -157,14 +157,13 @@ class Testbed:
                 F.upper(F.substring("source", 1, 5)), F.lit(" tablets safely. "), F.col("lang"),
             ).alias("title"),
             F.col("text").alias("AR"),
-            F.when(doc % 3 == 0, F.substring("text", 1, 200)).when(doc % 3 == 1, F.lit("")).alias("BW"),
+            F.when(doc % 3 == 0, F.col("text")).when(doc % 3 == 1, F.lit("")).alias("BW"),
             F.when(doc % 8 == 0, F.reverse("text")).alias("WP"),
             F.lit("").alias("WA"), F.lit(None).cast("string").alias("PR"),
             F.when(doc % 12 == 0, F.lit(" ")).alias("SP"), F.col("lang").alias("OV"),
         )
 
     def region_labels(self, region: str) -> DataFrame:
-        at = {"UK": 1, "EU": 2, "JP": 3}[region]
         doc = F.col("doc_id")
         cols = [
             F.concat(F.col("source"), F.lit(" "), F.col("lang")).alias("name"),
@@ -175,7 +174,7 @@ class Testbed:
         ]
         if region != "JP":
             cols.pop(2)
-        return self.documents().where(doc % 4 == at).select(*cols)
+        return self.documents().select(*cols)
 
     def scores(self) -> DataFrame:
         """Matches with scores as the scoring stage writes them (US, UK and EU keys)."""

@@ -22,7 +22,7 @@ def test_entry(spark):
 def test_query(spark, sf_dir, con, name):
     df = QUERIES[name](spark, sf_dir)
     if name in ORACLES:
-        assert compare(name, df, con, ORACLES[name]) in (None, "EMPTY")
+        assert compare(name, df, con, ORACLES[name]) is None
     else:
         assert df.count() > 0
 
