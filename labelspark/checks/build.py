@@ -63,12 +63,27 @@ def _normal(c: str) -> str:
     return f"array_to_string(list_sort([w for w in string_split({bare}, ' ') if w <> '']), ' ')"
 
 
+def _grams(c: str) -> str:
+    padded = f"('  ' || {c} || ' ')"
+    return f"list_distinct(list_transform(range(1, length({padded}) - 1), lambda i: substr({padded}, i, 3)))"
+
+
 NAME_CTES = {
     "exact_dict": "SELECT lower(term) AS key, max(concept_code) AS rxcui FROM name_dictionary GROUP BY 1",
     "normal_dict": f"SELECT key, max(concept_code) AS rxcui FROM (SELECT {_normal('term')} AS key, concept_code FROM name_dictionary) WHERE key <> '' GROUP BY 1",
     "exact_hit": "SELECT code, arg_min(rxcui, rank) AS rxcui FROM name_terms JOIN exact_dict ON lower(term) = key GROUP BY code",
     "normal_hit": f"""SELECT code, arg_min(rxcui, rank) AS rxcui FROM (SELECT code, rank, {_normal('term')} AS key FROM name_terms
         WHERE code NOT IN (SELECT code FROM exact_hit)) n JOIN normal_dict d ON n.key = d.key GROUP BY code""",
+    "term_names": f"SELECT code, rank, term, {_normal('term')} AS name FROM name_terms",
+    "term_grams": f"SELECT DISTINCT name, unnest({_grams('name')}) AS gram, len({_grams('name')}) AS n FROM (SELECT DISTINCT name FROM term_names WHERE name <> '')",
+    "dict_grams": f"SELECT DISTINCT key, unnest({_grams('key')}) AS gram, len({_grams('key')}) AS m FROM normal_dict",
+    "alike_names": """SELECT name, key, max(n) AS n, max(m) AS m, count(*) AS common FROM term_grams JOIN dict_grams USING (gram)
+        GROUP BY name, key HAVING count(*) >= 0.6 * (max(n) + max(m) - count(*)) - 1e-9""",
+    "nearest": """SELECT name, max({'sim': common / (n + m - common), 'key': key, 'rxcui': rxcui}) AS b
+        FROM alike_names JOIN normal_dict USING (key) GROUP BY name""",
+    "approximate": "SELECT code, rank, term, b.rxcui AS rxcui, round(b.sim, 6) AS sim FROM term_names JOIN nearest USING (name)",
+    "approximate_hit": """SELECT code, arg_min(rxcui, rank) AS rxcui FROM approximate
+        WHERE code NOT IN (SELECT code FROM exact_hit) AND code NOT IN (SELECT code FROM normal_hit) GROUP BY code""",
 }
 
 
@@ -79,7 +94,11 @@ def _(t):
     return N.match_names(t.name_terms(), t.name_dictionary(), min_sim=None)
 
 
-@query("j22_match_names_all_tiers")
+@query("j22_match_names_all_tiers", """
+    SELECT c.code, coalesce(e.rxcui, n.rxcui, a.rxcui) AS rxcui, CASE WHEN e.rxcui IS NOT NULL THEN 'exact'
+           WHEN n.rxcui IS NOT NULL THEN 'normalized' WHEN a.rxcui IS NOT NULL THEN 'approximate' END AS match_type
+    FROM (SELECT 'L' || p_partkey AS code FROM part) c LEFT JOIN exact_hit e USING (code) LEFT JOIN normal_hit n USING (code)
+    LEFT JOIN approximate_hit a USING (code)""", **NAME_CTES)
 def _(t):
     return N.match_names(t.name_terms(), t.name_dictionary(), min_sim=0.6)
 
@@ -90,7 +109,7 @@ def _(t):
     return N.match_normalized(N.rank_terms(t.name_terms()), t.name_dictionary()).select("code", "term", "rxcui")
 
 
-@query("j24_match_approximate")
+@query("j24_match_approximate", "SELECT code, rank - 1 AS rank, term, rxcui, sim FROM approximate", **NAME_CTES)
 def _(t):
     return rounded(N.match_approximate(N.rank_terms(t.name_terms()), t.name_dictionary(), 0.6), "sim")
 

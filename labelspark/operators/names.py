@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DOSAGE_WORDS, _col, words
+from ..session import stage
 
 GRAM = 3
 
@@ -59,45 +60,45 @@ def grams(name: Column | str) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(GRAM))))
 
 
-def _prefixed(sets: DataFrame, weights: DataFrame, min_sim: float) -> DataFrame:
-    """Each name under its rarest grams: enough of them that two names with the wanted
-    similarity must share one. Common grams never become a join key."""
-    long = sets.select("name", F.explode("grams").alias("gram"))
+def _by_rarity(names: DataFrame, weights: DataFrame) -> DataFrame:
+    """(name, n, grams) of distinct names, the rarest gram first; written, as a pair reads it more than once."""
+    names = names.select("name").where("name is not null and name != ''").distinct()
+    long = names.select("name", F.explode(grams("name")).alias("gram"))
     ordered = long.join(weights, "gram", "left").groupBy("name").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("weight", F.lit(0)).alias("w"), "gram"))).alias("_g")
-    ).select("name", F.transform("_g", lambda g: g["gram"]).alias("grams"))
-    n = F.size("grams")
-    keep = (n - F.ceil(F.lit(min_sim) * n - F.lit(1e-9)) + 1).cast("int")
-    head = ordered.withColumn("head", F.slice("grams", F.lit(1), keep))
-    return head.select("name", "grams", "head", F.explode("head").alias("gram"))
+        F.sort_array(F.collect_list(F.struct(F.coalesce("weight", F.lit(0)).alias("w"), "gram"))).alias("_g"))
+    return stage(ordered.select("name", F.size("_g").alias("n"), F.col("_g.gram").alias("grams")), "grams")
+
+
+def _bound(share: float, size: Column) -> Column:
+    """Smallest whole number of at least ``share * size``."""
+    return F.ceil(F.lit(share) * size - F.lit(1e-9)).cast("int")
 
 
 def similar_names(left: DataFrame, right: DataFrame, min_sim: float) -> DataFrame:
     """All (name, other, sim) with trigram Jaccard similarity of at least ``min_sim``.
 
-    Exact: prefix filtering and the length bound only skip pairs that cannot qualify. Both
-    inputs are distinct names, so repeated names cost nothing. A pair is compared under the
-    first gram its two prefixes share and nowhere else.
+    Exact. Each name stands under its rarest grams, so many that two names of the wanted similarity share one; pairs are
+    counted by how many they share there. What they can have in common beyond that lies in the rest of one of them, so
+    pairs whose count cannot be enough go before any gram sets meet. Both inputs are distinct names, so repeated names
+    cost nothing. A gram is a key only where a name has too few rarer ones.
     """
-    def sets(df: DataFrame) -> DataFrame:
-        names = df.select("name").where("name is not null and name != ''").distinct()
-        return names.withColumn("grams", grams("name"))
-
-    a, b = sets(left), sets(right)
-    weights = b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("weight")
-    )
-    pa = _prefixed(a, weights, min_sim)
-    pb = _prefixed(b, weights, min_sim).select(
-        F.col("name").alias("other"), F.col("grams").alias("grams_b"), F.col("head").alias("head_b"), "gram"
-    )
-    n, m = F.size("grams"), F.size("grams_b")
+    weights = right.select("name").where("name is not null and name != ''").distinct().select(
+        F.explode(grams("name")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("weight"))
+    a, b = _by_rarity(left, weights), _by_rarity(right, weights)
+
+    def heads(sets: DataFrame) -> DataFrame:
+        keep = F.col("n") - _bound(min_sim, F.col("n")) + 1
+        return sets.select("name", "n", F.explode(F.slice("grams", F.lit(1), keep)).alias("gram"))
+
+    other = heads(b).select(F.col("name").alias("other"), F.col("n").alias("m"), "gram")
+    close = (F.col("m") >= F.col("n") * min_sim) & (F.col("n") >= F.col("m") * min_sim)
+    shared = heads(a).join(other, "gram").where(close).groupBy("name", "other", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
+    need = _bound(min_sim / (1 + min_sim), F.col("n") + F.col("m"))
+    able = shared.where(F.col("shared") >= need - _bound(min_sim, F.greatest("n", "m")) + 1)
+    pairs = able.join(a.select("name", "grams"), "name").join(
+        b.select(F.col("name").alias("other"), F.col("grams").alias("grams_b")), "other")
     common = F.size(F.array_intersect("grams", "grams_b"))
-    pairs = pa.join(pb, "gram").where(
-        (m >= n * min_sim) & (n >= m * min_sim)
-        & (F.get(F.array_intersect("head", "head_b"), F.lit(0)) == F.col("gram"))
-    )
-    return pairs.select("name", "other", (common / (n + m - common)).alias("sim")).where(
+    return pairs.select("name", "other", (common / (F.col("n") + F.col("m") - common)).alias("sim")).where(
         F.col("sim") >= min_sim
     )
 
@@ -121,17 +122,18 @@ def match_names(
     """(code, rxcui, match_type) for every label; NULLs where no tier matches.
 
     ``names`` has ``code`` and ``terms`` (array in order of preference). A tier only sees labels
-    the tiers before it left open; ``min_sim=None`` leaves out the approximate tier.
+    the tiers before it left open; ``min_sim=None`` leaves out the approximate tier. What a tier found and left is
+    written, so no tier runs twice.
     """
-    ranked = rank_terms(names)
+    ranked = stage(rank_terms(names), "terms")
     tiers = [("exact", match_exact), ("normalized", match_normalized)]
     if min_sim is not None:
         tiers.append(("approximate", lambda r, d: match_approximate(r, d, min_sim)))
     open_terms, found = ranked, None
     for kind, tier in tiers:
-        hit = _best(tier(open_terms, dictionary)).withColumn("match_type", F.lit(kind))
+        hit = stage(_best(tier(open_terms, dictionary)).withColumn("match_type", F.lit(kind)), "tier")
         found = hit if found is None else found.unionByName(hit)
-        open_terms = open_terms.join(hit.select("code"), "code", "left_anti")
+        open_terms = stage(open_terms.join(hit.select("code"), "code", "left_anti"), "open-terms")
     return names.select("code").distinct().join(found, "code", "left").select(
         "code", "rxcui", "match_type"
     )
