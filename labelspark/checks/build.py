@@ -74,14 +74,15 @@ NAME_CTES = {
     "exact_hit": "SELECT code, arg_min(rxcui, rank) AS rxcui FROM name_terms JOIN exact_dict ON lower(term) = key GROUP BY code",
     "normal_hit": f"""SELECT code, arg_min(rxcui, rank) AS rxcui FROM (SELECT code, rank, {_normal('term')} AS key FROM name_terms
         WHERE code NOT IN (SELECT code FROM exact_hit)) n JOIN normal_dict d ON n.key = d.key GROUP BY code""",
-    "term_names": f"SELECT code, rank, term, {_normal('term')} AS name FROM name_terms",
+    "term_names": f"""SELECT code, rank, CAST(row_number() OVER (PARTITION BY code ORDER BY rank) - 1 AS INT) AS place, term,
+        {_normal('term')} AS name FROM name_terms WHERE term IS NOT NULL""",
     "term_grams": f"SELECT DISTINCT name, unnest({_grams('name')}) AS gram, len({_grams('name')}) AS n FROM (SELECT DISTINCT name FROM term_names WHERE name <> '')",
     "dict_grams": f"SELECT DISTINCT key, unnest({_grams('key')}) AS gram, len({_grams('key')}) AS m FROM normal_dict",
     "alike_names": """SELECT name, key, max(n) AS n, max(m) AS m, count(*) AS common FROM term_grams JOIN dict_grams USING (gram)
         GROUP BY name, key HAVING count(*) >= 0.6 * (max(n) + max(m) - count(*)) - 1e-9""",
     "nearest": """SELECT name, max({'sim': common / (n + m - common), 'key': key, 'rxcui': rxcui}) AS b
         FROM alike_names JOIN normal_dict USING (key) GROUP BY name""",
-    "approximate": "SELECT code, rank, term, b.rxcui AS rxcui, round(b.sim, 6) AS sim FROM term_names JOIN nearest USING (name)",
+    "approximate": "SELECT code, rank, place, term, b.rxcui AS rxcui, round(b.sim, 6) AS sim FROM term_names JOIN nearest USING (name)",
     "approximate_hit": """SELECT code, arg_min(rxcui, rank) AS rxcui FROM approximate
         WHERE code NOT IN (SELECT code FROM exact_hit) AND code NOT IN (SELECT code FROM normal_hit) GROUP BY code""",
 }
@@ -109,7 +110,7 @@ def _(t):
     return N.match_normalized(N.rank_terms(t.name_terms()), t.name_dictionary()).select("code", "term", "rxcui")
 
 
-@query("j24_match_approximate", "SELECT code, rank - 1 AS rank, term, rxcui, sim FROM approximate", **NAME_CTES)
+@query("j24_match_approximate", "SELECT code, place AS rank, term, rxcui, sim FROM approximate", **NAME_CTES)
 def _(t):
     return rounded(N.match_approximate(N.rank_terms(t.name_terms()), t.name_dictionary(), 0.6), "sim")
 
