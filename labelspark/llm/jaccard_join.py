@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .common import Batches, map_arrow, narrow
-from .components import components
+from .components import components, merged
 
 SHINGLE = 5
 WINDOW_SHINGLES = 2_000_000  # shingles that one frequency window of a task holds
@@ -339,20 +339,17 @@ def _classes(lists: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
             "a", "b").agg(F.count("*").alias("shared"))
         return stage(_search(stage(_able(shared, sizes), "pairs"), texts), "links")
 
-    links = search(_stars(lists.withColumn("class", F.col("doc_id")), F.min))
-    classes = components(links)
+    classes = components(search(_stars(lists.withColumn("class", F.col("doc_id")), F.min)))
     for centre in (F.max, lambda m: F.min_by(m, F.xxhash64(m["doc_id"])), lambda m: F.max_by(m, F.xxhash64(m["doc_id"]))):
         rest = _open(lists, classes)
         found = search(_stars(rest, centre))
         if found.isEmpty():
             break
-        links = links.union(found)
-        classes = components(links)
-        rest = None
+        classes, rest = merged(classes, found), None
     rest = _open(lists, classes) if rest is None else rest
     left, right = (rest.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}")) for d in "ab")
     found = search(left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b"))
-    return classes if found.isEmpty() else components(links.union(found))
+    return classes if found.isEmpty() else merged(classes, found)
 
 
 def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
