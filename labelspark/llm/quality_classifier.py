@@ -86,9 +86,9 @@ class LabelModel:
         return right / np.maximum(right + wrong, 1e-12)
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        """P(good) of each row of votes."""
+        """P(good) of each row of votes. A labeller that does not vote says nothing: it may not know the language."""
         at = patterns.astype(int) + 1
-        z = np.log(self.table[:, np.arange(patterns.shape[1]), at]).sum(-1)
+        z = (np.log(self.table[:, np.arange(patterns.shape[1]), at]) * (patterns != 0)).sum(-1)
         return 1 / (1 + np.exp(np.clip(z[0] + math.log(1 - self.prior) - z[1] - math.log(self.prior), -40, 40)))
 
 
