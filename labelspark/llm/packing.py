@@ -30,7 +30,7 @@ from .tokens import encoder
 
 CAPACITY = 2048
 BLOCK = 6000  # pieces of a block, about
-ISLANDS, POPULATION, EPOCHS, CROSSOVERS = 3, 3, 2, 5
+ISLANDS, POPULATION, EPOCHS, CROSSOVERS = 2, 3, 2, 5
 OPEN = 16  # a bin with more free places than that is packed again in the next level
 
 Bins = list[list[int]]
@@ -95,11 +95,11 @@ def crossover(a: Bins, b: Bins, sizes: list[int], capacity: int, rng: random.Ran
     return best_fit(bins, displaced, sizes, capacity)
 
 
-def first_population(sizes: list[int], capacity: int, n: int, rng: random.Random) -> list[Bins]:
-    """Best fit of the pieces from large to small, then of nearly that order."""
+def first_population(sizes: list[int], capacity: int, n: int, rng: random.Random, plain: bool = True) -> list[Bins]:
+    """Best fit of the pieces from large to small (on one island only), and of nearly that order."""
     out = []
     for i in range(n):
-        noise = 0.0 if i == 0 else 0.15 * capacity
+        noise = 0.0 if plain and i == 0 else 0.05 * capacity * (i + 1)
         keys = [s + noise * rng.random() for s in sizes]
         out.append(best_fit([], sorted(range(len(sizes)), key=lambda p: -keys[p]), sizes, capacity))
         if len(out[-1]) <= -(-sum(sizes) // capacity):
@@ -146,7 +146,7 @@ def _step(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
                 rng = random.Random(f"{r['block']}.{r['island']}.{epoch}")
                 sizes = r["sizes"]
                 if r["population"] is None:
-                    population = first_population(sizes, capacity, POPULATION, rng)
+                    population = first_population(sizes, capacity, POPULATION, rng, r["island"] == 0)
                 else:
                     population = [_to_bins(x) for x in r["population"]]
                     population[-1:] = [population[-1], _to_bins(r["guest"])]
