@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import query, rounded
 
 EFFECT = "Supplier#000000003-1"
-INGREDIENT = "red-28"
+INGREDIENT = "widget-8"
 
 JOINED = """product_label JOIN product_to_rxnorm USING (label_id)
     JOIN vocab_rxnorm_ingredient_to_product ON rxnorm_product_id = product_id
