@@ -6,11 +6,11 @@ T = ceil(0.8 |A|) shingles of A, so it stands in one of A's |A| - T + 1 *shortes
 1. One pass over the texts: set sizes, a digest of each set, and the shingles that repeat within a task's window.
    Equal sets fold into one representative. The most frequent shingles become the end of the common order.
 2. A second pass emits the shortest lists' entries of each representative: ``(shingle, doc_id)``.
-3. Every list proposes its members to a centre. A proposal is a T-occurrence search of the centre in a bounded block of
-   members: short lists are heap-merged, long ones are only probed by bisection (DivideSkip). Proven links form classes.
-4. Lists whose members fall into one class are finished; the others try another centre, and at last every pair of
-   members of different classes is searched. So no link between classes is lost, and no group is expanded into all
-   its pairs.
+3. A few guides per document, keys that documents alike tend to share, propose members to centres. A proposal is a
+   T-occurrence search of the centre in a bounded block of members: short lists are heap-merged, long ones are only probed
+   by bisection (DivideSkip). Proven links form classes.
+4. Lists whose members fall into one class are finished. Of the others, every pair of members of different classes that
+   shares enough lists is searched. So no link between classes is lost, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ MAX_HOT = 1 << 17  # size bound of the table of such shingles; others keep their
 FILTER_BITS = 1 << 25  # size of an id filter; it lets some extra ids through when it is full, and never loses one
 BLOCK = 512  # members searched together
 SALTS = 16  # parts of a hot list
+BANDS, BAND_ROWS = 8, 3  # guides: documents that agree in a band's minima are likely to link
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                      0xFF51AFD7ED558CCD], np.uint64)
@@ -57,13 +58,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the five-word shingles of a whole text.
 
     A-Z are lower-cased; words are split on the six ASCII blanks. Fewer than five words count as one shingle, a null
-    or wordless text as none. The lowest bit is clear.
+    or wordless text as none. The two lowest bits are clear.
     """
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < SHINGLE:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64) & ~np.uint64(1)
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64) & ~np.uint64(3)
     w = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     n = len(w) - SHINGLE + 1
     h = w[:n] * _FACTORS[0]
@@ -71,7 +72,7 @@ def shingle_set(text: str | None) -> np.ndarray:
         h += w[k:k + n] * _FACTORS[k]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x94D049BB133111EB)
-    return np.unique((h ^ (h >> np.uint64(29))) & ~np.uint64(1))
+    return np.unique((h ^ (h >> np.uint64(29))) & ~np.uint64(3))
 
 
 def required(a: int, b: int) -> int:
@@ -146,8 +147,22 @@ def _inside(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bitmap[(at // np.uint64(64)).astype(np.int64)] >> (at % np.uint64(64)).astype(np.int64)) & 1 == 1
 
 
+_ODD = (np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def guides(s: np.ndarray) -> np.ndarray:
+    """A key per band of minima under different multipliers; bit 1 marks them."""
+    least = np.array([(s * m).min() for m in _ODD]).reshape(BANDS, BAND_ROWS)
+    keys = least[:, 0] * _FACTORS[0] + least[:, 1] * _FACTORS[1] + least[:, 2] * _FACTORS[2] + np.arange(BANDS, dtype=np.uint64)
+    keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (keys & ~np.uint64(3)) | np.uint64(2)
+
+
 def _entries(texts: DataFrame, wanted: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """``shingle, doc_id`` of the |A| - T + 1 shortest lists of each wanted document; hot shingles have bit 0 set."""
+    """``shingle, doc_id`` of the |A| - T + 1 shortest lists of each wanted document, and of its guides.
+
+    Hot shingles have bit 0 set, guides bit 1.
+    """
     shared = texts.sparkSession.sparkContext.broadcast((wanted, hot, rank))
 
     def run(batches: Batches) -> Batches:
@@ -166,8 +181,8 @@ def _entries(texts: DataFrame, wanted: np.ndarray, hot: np.ndarray, rank: np.nda
                 if len(calm) < k:
                     late = s[is_hot][np.argsort(rank[at[is_hot]], kind="stable")][:k - len(calm)]
                     calm = np.concatenate([calm, late | np.uint64(1)])
-                shingles.append(calm)
-                owners.append(np.full(len(calm), ids[i]))
+                shingles += [calm, guides(s)]
+                owners.append(np.full(len(calm) + BANDS, ids[i]))
             if shingles:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles).view(np.int64)),
                                                   pa.array(np.concatenate(owners))], names=["shingle", "doc_id"])
@@ -296,17 +311,18 @@ def _part(shingle: Column, doc_id: Column) -> Column:
     return F.when(_is_hot(shingle), F.pmod(F.xxhash64(doc_id), F.lit(SALTS))).otherwise(0).cast("int")
 
 
-def _able(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+def _able(pairs: DataFrame, sizes: DataFrame, guided: bool) -> DataFrame:
     """Of ``a, b, shared`` the pairs that can still link, from the number of short lists that hold both.
 
     Sizes must be within 0.8 of each other. And with T = ceil(0.8 n) the larger set's bound: what two sets share beyond
-    their short lists lies among the last T - 1 shingles of one of them, so ``shared`` must make up the rest.
+    their short lists lies among the last T - 1 shingles of one of them, so ``shared`` must make up the rest. Guided
+    pairs are looked at whatever they share.
     """
     x, y = (sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
     large = F.greatest("n_a", "n_b")
     near = 5 * F.least("n_a", "n_b") >= 4 * large
     enough = F.col("shared") >= F.expr("(4 * (n_a + n_b) + 8) div 9") - F.expr("(4 * greatest(n_a, n_b) + 4) div 5") + 1
-    return pairs.join(x, "a").join(y, "b").filter(near & enough).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").filter(near if guided else near & enough).select("a", "b")
 
 
 def _stars(lists: DataFrame, centre) -> DataFrame:
@@ -331,24 +347,27 @@ def _open(lists: DataFrame, classes: DataFrame) -> DataFrame:
 def _classes(lists: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
     """``id, component`` of the documents that link with another one.
 
-    Stars about several centres go on while they find links; then every able pair across classes is searched.
+    Guides come first: the members of a guide's list are searched from one centre, then from others while links are
+    found. What they miss is found last, when every able pair of the shingles' lists across classes is searched.
     """
+    is_guide = F.col("shingle").bitwiseAND(F.lit(2)) == 2
+    guide, rest = lists.filter(is_guide), lists.filter(~is_guide)
 
-    def search(pairs: DataFrame) -> DataFrame:
+    def search(pairs: DataFrame, guided: bool) -> DataFrame:
         shared = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").groupBy(
             "a", "b").agg(F.count("*").alias("shared"))
-        return stage(_search(stage(_able(shared, sizes), "pairs"), texts), "links")
+        return stage(_search(stage(_able(shared, sizes, guided), "pairs"), texts), "links")
 
-    classes = components(search(_stars(lists.withColumn("class", F.col("doc_id")), F.min)))
-    for centre in (F.max, lambda m: F.min_by(m, F.xxhash64(m["doc_id"])), lambda m: F.max_by(m, F.xxhash64(m["doc_id"]))):
-        rest = _open(lists, classes)
-        found = search(_stars(rest, centre))
+    classes = components(search(_stars(guide.withColumn("class", F.col("doc_id")), F.min), True))
+    for centre in (F.max, lambda m: F.min_by(m, F.xxhash64(m["doc_id"]))):
+        found = search(_stars(_open(guide, classes), centre), True)
         if found.isEmpty():
             break
-        classes, rest = merged(classes, found), None
-    rest = _open(lists, classes) if rest is None else rest
-    left, right = (rest.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}")) for d in "ab")
-    found = search(left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b"))
+        classes = merged(classes, found)
+    rest = _open(rest, classes)
+    left, right = (rest.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}"))
+                   for d in "ab")
+    found = search(left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b"), False)
     return classes if found.isEmpty() else merged(classes, found)
 
 
