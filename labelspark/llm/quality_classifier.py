@@ -215,8 +215,8 @@ def _threshold(z: np.ndarray, bad: np.ndarray) -> float:
     good_below = np.concatenate([[0], np.cumsum(1 - bad)]) / max(1e-9, (1 - bad).sum())
     bad_above = (bad.sum() - np.concatenate([[0], np.cumsum(bad)])) / max(1e-9, bad.sum())
     value = 5 * good_below + bad_above
-    best = np.flatnonzero(value >= value.max() - 1e-12)
-    k = int(best[len(best) // 2])
+    # of cuts that differ by no more than one bad document, the one that spares most: small samples cannot tell them apart
+    k = int(np.flatnonzero(value >= value.max() - 1 / max(1.0, bad.sum()) - 1e-12)[-1])
     if k == 0:
         return float(z[0]) - 1
     return float(z[k - 1] + z[k]) / 2 if k < len(z) else float(z[-1]) + 1

@@ -73,8 +73,8 @@ def test_label_model_finds_accuracies():
 
 
 def test_classifier_on_held_out_labels(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     scorers = quality_classifier.fit(docs, labels.filter("doc_id % 3 <> 0"))
     got = quality_classifier.judge(docs, scorers).join(labels.filter("doc_id % 3 = 0"), "doc_id").select(
         "quality", "toxic", "kept").collect()
