@@ -2,13 +2,13 @@
 
 Every rolling three-word hash of every text is joined to the places where the license templates have it. A hit votes
 for a diagonal, place in the text less place in the template; neighbouring diagonals, which a few inserted or lost
-words drift between, are merged into one candidate span, and the span's words are compared with the template's. Fixed
-phrases are counted besides, exactly, in a narrow stage.
+words drift between, are merged into one candidate, and every window that holds enough of its hits is compared
+with the template, word by word. Fixed phrases are counted besides, exactly, in a narrow stage.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,8 @@ from .jaccard_join import _FACTORS, _hashes, _inside, id_filter
 
 GRAM = 3
 DRIFT = 4  # diagonals this far apart belong to one span
-VOTES = 0.4  # share of a template's hashes that a candidate needs
-ALIKE = 0.8  # share of a template's words that a verified span has, in order
+VOTES = 0.4  # share of a template's hashes that a candidate and its window need
+ALIKE = 0.8  # share of a template's words that a verified window has, in order
 
 # Phrases that always count, with their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -124,34 +124,70 @@ def template_grams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return spark.createDataFrame(rows, "gram long, template int, at int")
 
 
+def needed(n_words: int) -> int:
+    """Votes that a candidate of a template of so many words needs."""
+    return ceil(max(1.0, VOTES * (n_words - GRAM + 1)))
+
+
 def candidates(texts: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """``key, template, start, stop`` of spans whose merged diagonals have enough votes."""
+    """``key, template, places``: the places of the hits of merged diagonals that have enough votes."""
     spark = texts.sparkSession
     grams = map_arrow(texts.select("key", "text"), _grams, "key long, gram long, place int")
     hits = grams.join(F.broadcast(template_grams(spark, templates)), "gram")
+    # a set: equal rows have one key, and their votes count once
     lines = hits.groupBy("key", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("place").alias("start"), F.max("place").alias("stop"))
+        F.collect_set("place").alias("places"))
     w = Window.partitionBy("key", "template").orderBy("diagonal")
     runs = lines.withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT).cast("int")).withColumn(
         "run", F.sum(F.coalesce("new", F.lit(0))).over(w))
-    need = F.element_at(F.array(*(F.lit(max(1.0, VOTES * (len(t.split()) - GRAM + 1))) for _, t in templates)),
-                        F.col("template") + 1)
-    return runs.groupBy("key", "template", "run").agg(
-        F.sum("votes").alias("votes"), F.min("start").alias("start"), (F.max("stop") + GRAM).alias("stop")).filter(
-        F.col("votes") >= need).select("key", "template", "start", "stop")
+    need = F.element_at(F.array(*(F.lit(needed(len(t.split()))) for _, t in templates)), F.col("template") + 1)
+    # the hits of one text are no more than its words and the places of a hash in the templates
+    return runs.groupBy("key", "template", "run").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")).filter(
+        F.size("places") >= need).select("key", "template", "places")
+
 
+def alike_windows(have: list[bytes], places: list[int], template: list[bytes], votes: int) -> list[tuple[float, int, int]]:
+    """(likeness, start, stop) of every window of the text that holds ``votes`` of the hits and is alike enough.
 
-def alike(found: list[bytes], template: list[bytes]) -> float:
-    """Share of the template's words that stand in the span in the template's order, less what lies between them."""
-    same = sum(m.size for m in SequenceMatcher(None, found, template, autojunk=False).get_matching_blocks())
-    return same / max(len(template), len(found), 1)
+    Likeness is the longest common subsequence of window and template over the longer one's words, so a window that is
+    alike enough is no longer than the template over ``ALIKE``, and none is better than one that starts and stops with words
+    of the template. The subsequence grows word by word on a bit mask whose zeros are the template's words in it.
+    """
+    bits: dict[bytes, int] = {}
+    for i, w in enumerate(template):
+        bits[w] = bits.get(w, 0) | 1 << i
+    n, full, places = len(template), (1 << len(template)) - 1, sorted(places)
+    longest = int(n / ALIKE + 1e-9)
+    out, first = [], 0
+    for start in range(max(places[0] + GRAM - longest, 0), min(places[-1] + 1, len(have))):
+        while places[first] < start:
+            first += 1
+        if first + votes > len(places):
+            break
+        holds = places[first + votes - 1] + GRAM
+        if holds - start > longest or have[start] not in bits:
+            continue
+        row = full
+        for stop, w in enumerate(have[start:start + longest], start + 1):
+            if m := bits.get(w):
+                both = row & m
+                row = ((row + both) | (row - both)) & full
+                if stop >= holds and (a := (n - row.bit_count()) / max(n, stop - start)) >= ALIKE:
+                    out.append((a, start, stop))
+    return out
 
 
 def best_of(have: list[bytes], spans: list, words: list[list[bytes]], names: list[str]) -> list[tuple[str, float]]:
-    """(label, likeness) of the spans that are alike enough and that no better one overlaps."""
-    scored = [(alike(have[s["start"]:s["stop"]], words[s["template"]]), s["start"], s["stop"], names[s["template"]]) for s in spans]
-    return [(name, a) for a, lo, hi, name in scored if a >= ALIKE
-            and not any(b > a and lo < up and down < hi for b, down, up, _ in scored)]
+    """(label, likeness) of the windows that are alike enough and that no better one that counts overlaps."""
+    scored = {(a, lo, hi, names[s["template"]]) for s in spans for a, lo, hi in alike_windows(
+        have, s["places"], words[s["template"]], needed(len(words[s["template"]])))}
+    out, taken = [], {}
+    for a, lo, hi, name in sorted(scored, key=lambda x: -x[0]):
+        if all(taken.get(k, a) <= a for k in range(lo, hi)):
+            out.append((name, a))
+            for k in range(lo, hi):
+                taken.setdefault(k, a)
+    return out
 
 
 def verified(texts: DataFrame, spans: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -177,8 +213,7 @@ def verified(texts: DataFrame, spans: DataFrame, templates=TEMPLATES) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(labels, pa.list_(pa.string())),
                                               pa.array(scores, pa.float64())], names=["key", "found", "alike"])
 
-    # the spans of one text are no more than its words
-    by_text = spans.groupBy("key").agg(F.collect_list(F.struct("template", "start", "stop")).alias("spans"))
+    by_text = spans.groupBy("key").agg(F.collect_list(F.struct("template", "places")).alias("spans"))
     some = map_arrow(texts.select("key", "text"), pick, "key long, text string").dropDuplicates(["key"])
     return map_arrow(some.join(by_text, "key").select("key", "text", "spans"), compare,
                      "key long, found array<string>, alike double")

@@ -173,3 +173,43 @@ def test_license_spans(spark, no_docs):
     assert got[3] == ("", 0.0)
     assert got[4][0] == "gpl" and got[6] == ("cc-by", 1.0)
     assert license_scan.scan(no_docs).collect() == []
+
+
+def test_license_windows(spark):
+    notice = "licensed under the Apache License, Version 2.0"
+    texts = [(1, f"docs licensed under the MIT, {notice}"), (2, f"licensed under the {notice} licensed under the"),
+             (3, "licensed beneath the GNU Lesser General Public License"),  # its first whole gram is the third
+             (4, "; ".join([notice] * 9)), (5, f"{notice}; {license_scan.TEMPLATES[8][1]}; under the {license_scan.TEMPLATES[9][1]}"),
+             (6, "licensed under the one licensed under the other licensed under the third"), (7, notice), (7, notice)]
+    got = license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.labels, round(r.score, 3)) for r in got) == [
+        (1, "apache-2.0,mit", 1.0), (2, "apache-2.0", 1.0), (3, "gpl,lgpl", 0.875), (4, "apache-2.0", 1.0),
+        (5, "apache-2.0,gpl,lgpl", 1.0), (6, "", 0.0), (7, "apache-2.0", 1.0), (7, "apache-2.0", 1.0)]
+
+
+def test_license_windows_against_every_window():
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row[:]
+            for k, y in enumerate(b):
+                row[k + 1] = old[k] + 1 if x == y else max(row[k], old[k + 1])
+        return row[-1]
+
+    rng, seen = np.random.default_rng(3), 0
+    for _ in range(60):
+        template = [b"%d" % x for x in rng.integers(0, 12, rng.integers(5, 14))]
+        have = [b"%d" % x for x in rng.integers(0, 12, 25)]
+        for at in rng.integers(0, 20, 2):  # the template with a word lost and one changed, over other words
+            have[at:at + len(template) - 2] = template[:2] + template[3:]
+            have[at + 4] = b"x"
+        hits = {p for p in range(len(have) - 2) for k in range(len(template) - 2) if have[p:p + 3] == template[k:k + 3]}
+        need = license_scan.needed(len(template))
+        if not hits:
+            continue
+        want = {(lo, hi): a for lo in range(len(have)) for hi in range(lo + 3, len(have) + 1)
+                if sum(lo <= p <= hi - 3 for p in hits) >= need and have[lo] in template and have[hi - 1] in template
+                and (a := common(have[lo:hi], template) / max(hi - lo, len(template))) >= license_scan.ALIKE}
+        assert {(lo, hi): a for a, lo, hi in license_scan.alike_windows(have, list(hits), template, need)} == want
+        seen += len(want)
+    assert seen
