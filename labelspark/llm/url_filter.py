@@ -1,6 +1,6 @@
 """URL filters: host and path rules, and a character language-model ratio where no rule fits.
 
-The urls that rules decide are the training text. Two variable-order Markov models, one of allowed and one of blocked
+The urls that rules decide, whole and as often as they occur, are the training text. Two variable-order Markov models, one of allowed and one of blocked
 urls, count every character after its 0 to ``ORDER`` characters of context. A model's probability backs off from the
 longest context to shorter ones with Witten-Bell weights: a context that was followed by many different characters
 leaves more to the shorter one. A url is blocked when the mean log-likelihood ratio of its characters is above a cut that
@@ -81,9 +81,10 @@ class UrlModel:
 def _grams(rows: DataFrame, order: int) -> DataFrame:
     """``blocked, context, c, n``: how often a character follows each context of 0 to ``order`` characters.
 
-    Windows are counted before they fan out to their shorter contexts, so a hot host is one row per task and window.
+    A row counts ``times`` times. Windows are counted before they fan out to their shorter contexts, so a hot host is one
+    row per task and window.
     """
-    seen = rows.groupBy("blocked", "w").agg(F.count("*").alias("n"))
+    seen = rows.groupBy("blocked", "w").agg(F.sum("times").alias("n"))
     shorter = F.explode(F.transform(F.sequence(F.lit(0), F.lit(order)), lambda k: F.substr("w", k + 1, F.lit(order) - k)))
     return seen.select("blocked", shorter.alias("context"), F.substr("w", F.lit(order + 1), F.lit(1)).alias("c"), "n").groupBy(
         "blocked", "context", "c").agg(F.sum("n").alias("n"))
@@ -92,15 +93,17 @@ def _grams(rows: DataFrame, order: int) -> DataFrame:
 def fit(decided: DataFrame, *, order: int = ORDER) -> UrlModel:
     """From ``id, text, blocked`` of decided urls: counts of four fifths of them, the cut from the last fifth.
 
-    The cut is where the share of blocked urls caught less the share of allowed ones lost is largest. Without urls of both kinds there is nothing to compare, and the cut is infinite: nothing is blocked.
+    Where there is a column ``times``, a url counts that often, else once. The cut is where the share of blocked urls caught less the share of allowed ones lost is largest. Without urls of both kinds there is nothing to compare, and the cut is infinite: nothing is blocked.
     """
-    rows = decided.withColumn("held", F.pmod(F.xxhash64("text", F.lit(11)), F.lit(5)) == 0)
-    counts = stage(_grams(windows(rows.filter("not held").select("text", "blocked"), order), order), "url-grams")
+    times = F.col("times") if "times" in decided.columns else F.lit(1).cast("long")
+    rows = decided.select("id", "text", "blocked", times.alias("times")).withColumn("held", F.pmod(F.xxhash64("text", F.lit(11)), F.lit(5)) == 0)
+    counts = stage(_grams(windows(rows.filter("not held").select("text", "blocked", "times"), order), order), "url-grams")
     totals = stage(counts.groupBy("blocked", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "url-contexts")
     model = UrlModel(counts, totals, math.inf, order)
-    held = score(rows.filter("held").select("id", "text", "blocked"), model)
+    held = score(rows.filter("held").select("id", "text", "blocked", "times"), model)
     cells = held.groupBy(F.floor(F.col("score") * 200).alias("cell")).agg(
-        F.count_if("blocked").alias("bad"), F.count_if(~F.col("blocked")).alias("good")).collect()  # a few thousand at most
+        *(F.sum(F.when(F.col("blocked") == b, F.col("times")).otherwise(0)).alias(kind)
+          for b, kind in ((True, "bad"), (False, "good")))).collect()  # a few thousand at most
     cells = sorted((r["cell"], r["bad"], r["good"]) for r in cells if r["cell"] is not None)
     bad, good = sum(c[1] for c in cells), sum(c[2] for c in cells)
     if not bad or not good:
@@ -155,20 +158,20 @@ def score(urls: DataFrame, model: UrlModel) -> DataFrame:
 def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, order: int = ORDER) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every row: the rule's verdict, else the model's.
 
-    Equal urls are judged once. A null url, and one without ``://``, has an empty host and path; it fits no rule and,
-    having no characters, is allowed. Ids may be null or repeat.
+    Equal urls are judged once, and train the model as often as they occur. Rules see host and path, the model the whole
+    url. One without ``://`` has an empty host and path, fits no rule and is the model's to judge; a null or empty url has
+    no characters and is allowed. Ids may be null or repeat.
     """
-    url = F.col(f"`{url_col}`")
-    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.coalesce(host_of(url), F.lit("")).alias("host"),
-                        F.coalesce(path_of(url), F.lit("")).alias("path"))
+    url = F.coalesce(F.col(f"`{url_col}`"), F.lit(""))
+    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("text"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).select(
-        "page_id", "host", "path", "r.rule", F.col("r.verdict").alias("by_rule"))
-    texts = stage(rows.groupBy(F.concat("host", "path").alias("text")).agg(
-        F.first("by_rule").alias("by_rule")).withColumn("id", F.xxhash64("text")), "urls")
-    model = fit(texts.filter("by_rule is not null").select("id", "text", (F.col("by_rule") == "block").alias("blocked")),
+        "page_id", "text", "host", "path", "r.rule", F.col("r.verdict").alias("by_rule"))
+    texts = stage(rows.groupBy("text").agg(F.first("by_rule").alias("by_rule"), F.count("*").alias("times")).withColumn(
+        "id", F.xxhash64("text")), "urls")
+    model = fit(texts.filter("by_rule is not null").select("id", "text", "times", (F.col("by_rule") == "block").alias("blocked")),
                 order=order)
     open_urls = score(texts.filter("by_rule is null and text <> ''").select("id", "text"), model)
-    return rows.join(open_urls.withColumnRenamed("id", "_id"), F.xxhash64(F.concat("host", "path")) == F.col("_id"), "left").select(
+    return rows.join(open_urls.withColumnRenamed("id", "_id"), F.xxhash64("text") == F.col("_id"), "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("by_rule", F.when(F.col("score") >= model.cut, "block").otherwise("allow")).alias("verdict"),
         F.when(F.col("by_rule").isNull(), F.col("score")).alias("score"))

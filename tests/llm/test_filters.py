@@ -146,6 +146,30 @@ def test_urls_without_training_text(spark):
     assert url_filter.judge(pages.limit(0)).collect() == []
 
 
+def test_url_model_sees_whole_urls(spark):
+    rows = [(i, f"http://www.example.com/en/{i % 9}?page={i}") for i in range(200)]
+    rows += [(i, f"http://example.com/en/{i % 9}?casino=win{i}#spin") for i in range(200, 400)]
+    rows += [(1001, "http://q.org/p?page=7"), (1002, "http://q.org/p?casino=win7#spin"), (1003, "q.org/p?casino=win7#spin"),
+             (1004, "q.org/p?page=7"), (1005, ""), (1006, None)]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[1002].score > got[1001].score and got[1003].score > got[1004].score
+    assert all((got[i].host, got[i].path, got[i].rule) == ("q.org", "/p", None) for i in (1001, 1002))
+    assert all((got[i].host, got[i].path, got[i].rule) == ("", "", None) for i in range(1003, 1007))
+    assert all(got[i].score is not None for i in range(1001, 1005)) and got[1005].score is got[1006].score is None
+    assert got[1005].verdict == got[1006].verdict == "allow"
+
+
+def test_url_model_counts_every_row(spark, monkeypatch):
+    pages = [(i, f"http://{'www.' if i % 2 else ''}example.com/en/{i % 20}?v={i % 40}", 1 + i % 3) for i in range(40)]
+    given, fit = [], url_filter.fit
+    monkeypatch.setattr(url_filter, "fit", lambda decided, **k: given.append(fit(decided, **k)) or given[-1])
+    url_filter.judge(spark.createDataFrame([(i, u) for i, u, n in pages for _ in range(n)], "page_id long, url string")).collect()
+    repeated = spark.createDataFrame([(i, u, i % 2 == 0) for i, u, n in pages for _ in range(n)], "id long, text string, blocked boolean")
+    plain = fit(repeated)
+    assert sorted(map(tuple, given[0].counts.collect())) == sorted(map(tuple, plain.counts.collect()))
+    assert given[0].cut == plain.cut < np.inf
+
+
 @pytest.mark.parametrize("source", ["docs", "odd"])
 def test_license_phrases(request, source):
     docs = request.getfixturevalue(source)
