@@ -114,6 +114,15 @@ def test_packing_of_documents(odd, docs, no_docs, library):
     assert packing.pack_documents(no_docs).collect() == []
 
 
+def test_packing_searches_on_three_islands(spark, monkeypatch):
+    rng = random.Random(7)
+    pieces = spark.createDataFrame([(i, rng.randint(26, 48)) for i in range(300)], "uid long, length long")
+    seen, step = [], packing._step
+    monkeypatch.setattr(packing, "_step", lambda rows, *a: seen.append(rows.select("block", "island").collect()) or step(rows, *a))
+    packing.pack(pieces, capacity=100).collect()
+    assert [sorted(map(tuple, x)) for x in seen] == [[(0, 0), (0, 1), (0, 2)]] * packing.EPOCHS
+
+
 def test_packing_in_many_blocks_and_levels(spark):
     rng = random.Random(3)
     sizes = [rng.choice([rng.randint(1, 100), rng.randint(30, 70), 100]) for _ in range(2000)]
