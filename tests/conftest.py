@@ -20,7 +20,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *cols):
-    return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from labelspark.operators import match as M
 
 TERMS = [("1", "foo"), ("2", "bar"), ("3", "baz"), ("4", "zab")]

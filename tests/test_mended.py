@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 
 
 def test_paragraphs_with_unicode_blanks_and_nul(spark):

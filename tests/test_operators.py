@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from labelspark import functions as fn
 from labelspark.operators import evidence as E
 from labelspark.operators import extract as X
