@@ -63,3 +63,49 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+class Memo(dict):
+    """Results of ``make`` by its argument, emptied when ``bound`` of them are held and when a partition ends."""
+
+    def __init__(self, make: Callable, bound: int):
+        super().__init__()
+        self.make, self.bound = make, bound
+
+    def __missing__(self, key):
+        if len(self) >= self.bound:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
+def forgetting(fn: Callable[[Batches], Batches], forget: Callable[[], None]) -> Callable[[Batches], Batches]:
+    """``fn``, after which what the worker remembers is let go: a reused worker has other stages to run.
+
+    ``forget`` is a function of a module, so that it reaches the worker's own memory.
+    """
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from fn(batches)
+        finally:
+            forget()
+
+    return run
+
+
+def most_frequent(df: DataFrame, count: str, bound: int) -> DataFrame:
+    """About the ``bound`` rows with the largest counts. ``df`` is read twice.
+
+    The cut is found on a histogram with 16 steps for each doubling of the count, so no task sorts rows; of the step
+    at the cut a share is taken by hash.
+    """
+    step = F.floor(16 * F.log2(F.col(count)))
+    hist = sorted(((r[0], r[1]) for r in df.groupBy(step.alias("step")).count().collect()), reverse=True)
+    left = bound
+    for at, n in hist:
+        if n > left:
+            share = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) < int((left << 20) / n)
+            return df.filter((step > at) | ((step == at) & share))
+        left -= n
+    return df

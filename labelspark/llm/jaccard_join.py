@@ -10,7 +10,7 @@ T = ceil(0.8 |A|) shingles of A, so it stands in one of A's |A| - T + 1 *shortes
    T-occurrence search of the centre in a bounded block of members: short lists are heap-merged, long ones are only probed
    by bisection (DivideSkip). Proven links form classes.
 4. Lists whose members fall into one class are finished. Of the others, every pair of members of different classes that
-   shares enough lists is searched. So no link between classes is lost, and no group is expanded into all its pairs.
+   shares enough lists, one of which must lead in the smaller set, is searched. So no link between classes is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import Batches, map_arrow, narrow
+from .common import Batches, Memo, forgetting, map_arrow, most_frequent, narrow
 from .components import components, merged
 
 SHINGLE = 5
@@ -43,15 +43,11 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                      0xFF51AFD7ED558CCD], np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+_hashes = Memo(xxhash.xxh3_64_intdigest, 200_000)
 
 
-_hashes = _WordHashes()
+def _forget() -> None:
+    _hashes.clear()
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -159,9 +155,10 @@ def guides(s: np.ndarray) -> np.ndarray:
 
 
 def _entries(texts: DataFrame, wanted: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """``shingle, doc_id`` of the |A| - T + 1 shortest lists of each wanted document, and of its guides.
+    """``shingle, doc_id, lead`` of the |A| - T + 1 shortest lists of each wanted document, and of its guides.
 
-    Hot shingles have bit 0 set, guides bit 1.
+    Hot shingles have bit 0 set, guides bit 1. The first |A| - required(|A|, |A|) + 1 lists lead: sets that link share a
+    list that leads in the smaller one.
     """
     shared = texts.sparkSession.sparkContext.broadcast((wanted, hot, rank))
 
@@ -169,7 +166,7 @@ def _entries(texts: DataFrame, wanted: np.ndarray, hot: np.ndarray, rank: np.nda
         wanted, hot, rank = shared.value
         for b in batches:
             ids = b.column("doc_id").to_numpy()
-            shingles, owners = [], []
+            shingles, owners, leads = [], [], []
             for i in np.flatnonzero(_inside(wanted, ids)):
                 s = shingle_set(b.column("text")[int(i)].as_py())
                 if not len(s):
@@ -183,11 +180,12 @@ def _entries(texts: DataFrame, wanted: np.ndarray, hot: np.ndarray, rank: np.nda
                     calm = np.concatenate([calm, late | np.uint64(1)])
                 shingles += [calm, guides(s)]
                 owners.append(np.full(len(calm) + BANDS, ids[i]))
+                leads.append(np.arange(len(calm) + BANDS) <= len(s) - required(len(s), len(s)))
             if shingles:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles).view(np.int64)),
-                                                  pa.array(np.concatenate(owners))], names=["shingle", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(owners)),
+                                                  pa.array(np.concatenate(leads))], names=["shingle", "doc_id", "lead"])
 
-    return map_arrow(texts, run, "shingle long, doc_id long")
+    return map_arrow(texts, forgetting(run, _forget), "shingle long, doc_id long, lead boolean")
 
 
 def _shared_lists(batches: Batches) -> Batches:
@@ -297,7 +295,7 @@ def _search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     ids.append(doc[i])
         yield from close()
 
-    known = map_arrow(texts, sets, "doc_id long, set binary")
+    known = map_arrow(texts, forgetting(sets, _forget), "doc_id long, set binary")
     ready = rows.join(known, "doc_id").repartition("a", "part").sortWithinPartitions("a", "part", F.col("asks").desc())
     return map_arrow(ready.select("a", "part", "asks", "doc_id", "set"), run, "a long, b long")
 
@@ -311,18 +309,28 @@ def _part(shingle: Column, doc_id: Column) -> Column:
     return F.when(_is_hot(shingle), F.pmod(F.xxhash64(doc_id), F.lit(SALTS))).otherwise(0).cast("int")
 
 
-def _able(pairs: DataFrame, sizes: DataFrame, guided: bool) -> DataFrame:
-    """Of ``a, b, shared`` the pairs that can still link, from the number of short lists that hold both.
+def _able(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sizes are within 0.8 of each other."""
+    x, y = (sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    return pairs.join(x, "a").join(y, "b").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").select("a", "b")
+
+
+def _led(lists: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of different classes that can still link, from the short lists that hold both.
 
-    Sizes must be within 0.8 of each other. And with T = ceil(0.8 n) the larger set's bound: what two sets share beyond
-    their short lists lies among the last T - 1 shingles of one of them, so ``shared`` must make up the rest. Guided
-    pairs are looked at whatever they share.
+    Of two sets that link, ``a`` is the smaller one (of equal ones, the smaller id). With I = required(|a|, |a|) they share at
+    least I shingles, so one of a's first |a| - I + 1, a list that leads, is among the short lists of ``b``. Documents that
+    share a template and have their own words besides meet in no such list unless they are about to link. What two sets
+    share outside the lists counted here lies among the last I - 1 shingles of ``a`` or the last T - 1 of ``b``, so
+    ``shared`` must make up the rest.
     """
-    x, y = (sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    large = F.greatest("n_a", "n_b")
-    near = 5 * F.least("n_a", "n_b") >= 4 * large
-    enough = F.col("shared") >= F.expr("(4 * (n_a + n_b) + 8) div 9") - F.expr("(4 * greatest(n_a, n_b) + 4) div 5") + 1
-    return pairs.join(x, "a").join(y, "b").filter(near if guided else near & enough).select("a", "b")
+    known = lists.join(sizes, "doc_id")
+    a = known.filter("lead").select("shingle", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("class").alias("class_a"))
+    b = known.select("shingle", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("class").alias("class_b"))
+    near = "class_a <> class_b and 5 * n_a >= 4 * n_b and (n_a < n_b or (n_a = n_b and a < b))"
+    shared = a.join(b, "shingle").filter(near).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    rest = F.greatest(F.expr("(8 * n_a + 8) div 9"), F.expr("(4 * n_b + 4) div 5"))
+    return shared.filter(F.col("shared") >= F.expr("(4 * (n_a + n_b) + 8) div 9") - rest + 1).select("a", "b")
 
 
 def _stars(lists: DataFrame, centre) -> DataFrame:
@@ -339,9 +347,9 @@ def _stars(lists: DataFrame, centre) -> DataFrame:
 def _open(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """The lists whose members are of several classes, with each member's class."""
     known = lists.join(classes, lists["doc_id"] == classes["id"], "left").select(
-        "shingle", "part", "doc_id", F.coalesce("component", "doc_id").alias("class"))
+        "shingle", "part", "doc_id", "lead", F.coalesce("component", "doc_id").alias("class"))
     mixed = known.groupBy("shingle").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y")
-    return stage(known.join(mixed.hint("shuffle_hash"), "shingle").select("shingle", "part", "doc_id", "class"), "open")
+    return stage(known.join(mixed.hint("shuffle_hash"), "shingle").select("shingle", "part", "doc_id", "lead", "class"), "open")
 
 
 def _classes(lists: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -353,21 +361,20 @@ def _classes(lists: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
     is_guide = F.col("shingle").bitwiseAND(F.lit(2)) == 2
     guide, rest = lists.filter(is_guide), lists.filter(~is_guide)
 
-    def search(pairs: DataFrame, guided: bool) -> DataFrame:
-        shared = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").groupBy(
-            "a", "b").agg(F.count("*").alias("shared"))
-        return stage(_search(stage(_able(shared, sizes, guided), "pairs"), texts), "links")
+    def search(pairs: DataFrame) -> DataFrame:
+        return stage(_search(stage(pairs, "pairs"), texts), "links")
+
+    def guided(stars: DataFrame) -> DataFrame:
+        pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        return search(_able(pairs, sizes))
 
-    classes = components(search(_stars(guide.withColumn("class", F.col("doc_id")), F.min), True))
+    classes = components(guided(_stars(guide.withColumn("class", F.col("doc_id")), F.min)))
     for centre in (F.max, lambda m: F.min_by(m, F.xxhash64(m["doc_id"]))):
-        found = search(_stars(_open(guide, classes), centre), True)
+        found = guided(_stars(_open(guide, classes), centre))
         if found.isEmpty():
             break
         classes = merged(classes, found)
-    rest = _open(rest, classes)
-    left, right = (rest.select("shingle", F.col("doc_id").alias(d), F.col("class").alias(f"class_{d}"))
-                   for d in "ab")
-    found = search(left.join(right, "shingle").filter("a < b and class_a <> class_b").select("a", "b"), False)
+    found = search(_led(_open(rest, classes), sizes))
     return classes if found.isEmpty() else merged(classes, found)
 
 
@@ -379,23 +386,30 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spark: SparkSession = docs.sparkSession
     texts = narrow(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    scan = stage(map_arrow(texts, _scan, "doc_id long, n int, digest binary, shingle long, seen long"), "scan")
+    scan = stage(map_arrow(texts, forgetting(_scan, _forget), "doc_id long, n int, digest binary, shingle long, seen long"), "scan")
     sizes = scan.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n")).alias("s")).select(
         "doc_id", "s.n", "s.digest")
-    heads = sizes.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("head"))
-    often = (scan.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
-             .filter(F.col("seen") >= HOT_AT_LEAST).orderBy(F.desc("seen"), "shingle").limit(MAX_HOT).toArrow())
+    heads = sizes.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
+    counted = stage(scan.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
+                    .filter(F.col("seen") >= HOT_AT_LEAST), "often")
+    often = most_frequent(counted, "seen", MAX_HOT).toArrow()
     hot = often.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hot)
-    hot, rank = hot[order], often.column("seen").to_numpy()[order]
+    hot, rank = hot[order], often.column("seen").to_numpy().astype(np.int64)[order]
     people = stage(heads.select(F.col("head").alias("doc_id"), "n"), "heads")
     entries = _entries(texts, id_filter(people), hot, rank)
     # one shuffle brings each part of a list together; the sorted rows pass by and lists of one member fall out
     dealt = entries.withColumn("part", _part(F.col("shingle"), F.col("doc_id"))).repartition("shingle", "part")
     lists = stage(map_arrow(dealt.sortWithinPartitions("shingle", "part"), _shared_lists,
-                            "shingle long, doc_id long, part int"), "lists")
+                            "shingle long, doc_id long, lead boolean, part int"), "lists")
 
     classes = _classes(lists, people, texts)
-    out = sizes.join(heads.withColumnRenamed("n", "size"), (sizes["digest"] == heads["digest"]) & (sizes["n"] == F.col("size")), "left")
+    # a set that occurs once is its own head; the others meet their head in parts, as one set may hold a third of all rows
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    copied = heads.filter("copies > 1").select(F.col("digest").alias("d"), F.col("n").alias("size"), "head",
+                                               F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    known = sizes.withColumn("salt", salt)
+    out = known.join(copied, (known["digest"] == copied["d"]) & (known["n"] == F.col("size")) & (known["salt"] == F.col("s")), "left")
+    out = out.select("doc_id", "n", F.coalesce("head", "doc_id").alias("head"))
     return out.join(classes, F.col("head") == classes["id"], "left").select(
-        "doc_id", sizes["n"].cast("long").alias("n_shingles"), F.coalesce("component", "head", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "head").alias("component_id"))

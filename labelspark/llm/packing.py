@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import Batches, map_arrow, narrow, tokenizer_path
-from .tokens import encoder
+from .common import Batches, forgetting, map_arrow, narrow, tokenizer_path
+from .tokens import encoder, forget_words
 
 CAPACITY = 2048
 BLOCK = 6000  # pieces of a block, about
@@ -256,7 +256,7 @@ def cut_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                                                  names=[f for f, _ in fields])
 
     texts = narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return map_arrow(texts, run, "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
+    return map_arrow(texts, forgetting(run, forget_words), "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
                      + ", ids binary" * with_ids)
 
 

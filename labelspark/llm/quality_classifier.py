@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, bounded_sample, map_arrow, narrow, word_array
+from .common import Batches, Memo, bounded_sample, forgetting, map_arrow, narrow, word_array
 
 # Common English insults, as whole words.
 INSULTS = ("bastard clown creep dimwit disgusting dumb fool idiot imbecile jerk loser lowlife moron pathetic pig scum "
@@ -126,8 +126,6 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, *, rounds: int = 2
 
 
 _EDGE = b".,;:!?()[]{}\"'*$%&#|<>-_=/"
-_words: dict[bytes, tuple[int, bytes]] = {}
-
 
 def _hashed(word: bytes) -> tuple[int, bytes]:
     """Bucket of a word, and its first characters."""
@@ -135,6 +133,13 @@ def _hashed(word: bytes) -> tuple[int, bytes]:
     return zlib.crc32(w) % BUCKETS, w.decode("utf-8", "ignore")[:PREFIX].encode()
 
 
+_words = Memo(_hashed, 100_000)
+
+
+def _forget() -> None:
+    _words.clear()
+
+
 def _level(name: str, x: float, cuts: tuple[float, ...]) -> list[int]:
     """Buckets that say how many of the cuts a share reaches; several, as one text has only one such share."""
     level = sum(x >= c for c in cuts)
@@ -151,13 +156,8 @@ def features(text: str) -> np.ndarray:
     """
     words = text.encode("utf-8", "surrogatepass").lower().split()
     kinds = set(words)
-    if len(_words) > 400_000:
-        _words.clear()
     out, alike = [], Counter()
-    for w in kinds:
-        h = _words.get(w)
-        if h is None:
-            h = _words[w] = _hashed(w)
+    for h in map(_words.__getitem__, kinds):
         out.append(h[0])
         alike[h[1]] += 1
     for start, k in alike.items():
@@ -252,10 +252,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         sample = bounded_sample(texts.filter(F.col("doc_id").isNotNull()), "doc_id", max_train)
     else:
         sample = texts.join(F.broadcast(keys), F.col("doc_id") == F.col("_k"), "left_semi")
-    rows = map_arrow(sample, hashed, "doc_id long, index binary").join(voted(sample), "doc_id").toPandas()
+    # one row per id, so that what is gathered is bounded however often an id repeats
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = map_arrow(sample, forgetting(hashed, _forget), "doc_id long, index binary").join(voted(sample), "doc_id").toPandas()
     if rows.empty:
         return out
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    rows = rows.sort_values("doc_id", kind="stable")
     index = [np.frombuffer(b, np.int32) for b in rows["index"]]
     held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in rows["doc_id"]])
     if held.all() or not held.any():
@@ -294,7 +296,7 @@ def judge(docs: DataFrame, scorers: dict[str, Scorer], *, id_col: str = "doc_id"
                 [b.column("doc_id"), *(pa.array(x) for x in (z[:, 0], z[:, 1], over, over < 0))],
                 names=["doc_id", "junk_odds", "toxic_odds", "score", "kept"])
 
-    return map_arrow(narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")), run,
+    return map_arrow(narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")), forgetting(run, _forget),
                      "doc_id long, junk_odds double, toxic_odds double, score double, kept boolean")
 
 
@@ -308,4 +310,4 @@ def keep(docs: DataFrame, scorers: dict[str, Scorer], *, text_col: str = "text")
             keep = [bool((weights[features(t or "")].sum(0) + weights[-1] < cuts).all()) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(docs, run, docs.schema)
+    return map_arrow(docs, forgetting(run, _forget), docs.schema)

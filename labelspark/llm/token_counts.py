@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import Batches, map_arrow, narrow, tokenizer_path
-from .tokens import encoder, library
+from .common import Batches, forgetting, map_arrow, narrow, tokenizer_path
+from .tokens import encoder, forget_words, library
 
 CHUNK, OVERLAP = 1 << 15, 1 << 10  # characters; stride is the difference
 GUARD = 64  # characters before a chunk's end where edges are not trusted: longer than any special string
@@ -144,7 +144,7 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("need overlap > 128 characters and size > 2 x overlap")
     texts = narrow(docs, id_col, text_col)
     short = texts.filter(F.length("text") <= size).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = map_arrow(short, lambda batches: _short(batches, vocabulary), "doc_id long, n_bytes long, n_tokens long")
+    counted = map_arrow(short, forgetting(lambda batches: _short(batches, vocabulary), forget_words), "doc_id long, n_bytes long, n_tokens long")
     huge = stage(texts.filter(F.length("text") > size).select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), "huge")
     if not huge.isEmpty():

@@ -8,6 +8,7 @@ from array import array
 from functools import cache
 from itertools import chain
 
+import numpy as np
 import regex
 
 # Fixed value: the split that the vocabulary's byte-level pre-tokenizer makes.
@@ -55,27 +56,63 @@ class Encoder:
 
     A text is split into words as the pre-tokenizer splits it, and the library encodes each different word once; BPE
     never looks over a word's edge. Texts that hold a special string, or characters on whose class two Unicode versions
-    may differ, go to the library whole. ``cache`` bounds the remembered words.
+    may differ, go to the library whole. ``cache`` bounds the remembered words, in bytes: when the newer half is full, the
+    words that were not asked for since the last time are forgotten.
     """
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = 64 << 20):
         self.tokenizer = library(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.findall, self.cache, self.words = older_split().findall, cache, {}
+        self.findall, self.cache = older_split().findall, cache
+        self.words, self.older, self.used = {}, {}, 0
 
     def plain(self, text: str) -> bool:
         return is_older(text) and not any(s in text for s in self.special)
 
+    def forget(self) -> None:
+        self.words, self.older, self.used = {}, {}, 0
+
+    def _one_by_one(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self.words[w] = array("I", e.ids).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words. Those that start with a blank stay apart when they are joined, so that many take one call."""
+        blank = [w for w in words if w[0] == " " and len(w) > 1 and not w[1].isspace()]
+        self._one_by_one(list(set(words).difference(blank)))
+        for lo in range(0, len(blank), 1000):
+            part = blank[lo:lo + 1000]
+            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            of = np.array(e.word_ids, np.int64)
+            starts = (np.flatnonzero(np.diff(of, prepend=-1)) * 4).tolist()
+            if len(starts) != len(part):
+                self._one_by_one(part)
+                continue
+            raw = array("I", e.ids).tobytes()
+            for w, i, j in zip(part, starts, [*starts[1:], len(raw)]):
+                self.words[w] = raw[i:j]
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null text has none."""
+        """The ids of each text; a null text has none. About a million characters are split at a time."""
+        out, lo = [], 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (size < 1 << 20 or hi == lo):
+                size += len(texts[hi] or "")
+                hi += 1
+            out += self._encode(texts[lo:hi])
+            lo = hi
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.findall(t) if t and self.plain(t) else None for t in texts]
-        if len(self.words) > self.cache:
-            self.words.clear()
-        missing = list(set(chain.from_iterable(filter(None, split))) - self.words.keys())
-        for lo in range(0, len(missing), 20_000):
-            part = missing[lo:lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[w] = array("I", e.ids).tobytes()
+        if self.used > self.cache // 2:
+            self.words, self.older, self.used = {}, self.words, 0
+        new = set(chain.from_iterable(filter(None, split))) - self.words.keys()
+        self.used += 3 * sum(map(len, new)) + 150 * len(new)
+        again = new & self.older.keys()
+        self.words.update(zip(again, map(self.older.__getitem__, again)))
+        self._learn(list(new - again))
         get = self.words.__getitem__
         return [b"".join(map(get, words)) if words is not None
                 else array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if t else b""
@@ -90,3 +127,9 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget_words() -> None:
+    """Let go of the words that this worker's encoders remember."""
+    for e in _encoders.values():
+        e.forget()

@@ -125,3 +125,25 @@ def test_search_ties_and_bad_vectors(spark):
     assert ann_search.search(df.limit(0), df).collect() == []
     two = df.filter("vec_id in (1, 50)")
     assert sorted((r.query_id, r.vec_id) for r in ann_search.search(two, two, lists=5, list_ratio=9.0).collect()) == [(1, 50), (50, 1)]
+
+
+def test_template_makes_no_pairs(spark):
+    """Documents that share most of their shingles but do not link never meet as pairs."""
+    from labelspark.llm import jaccard_join
+
+    shared = " ".join(f"t{i}" for i in range(72))
+    docs = spark.createDataFrame([(i, shared + " " + " ".join(f"own{i}x{k}" for k in range(12))) for i in range(300)], "doc_id long, text string")
+    seen = []
+    keep = jaccard_join._led
+
+    def counted(lists, sizes):
+        out = keep(lists, sizes)
+        seen.append(out.count())
+        return out
+
+    jaccard_join._led = counted
+    try:
+        got = jaccard_join.jaccard_classes(docs).collect()
+    finally:
+        jaccard_join._led = keep
+    assert all(r.component_id == r.doc_id for r in got) and seen == [0]
