@@ -359,6 +359,24 @@ def _(t):
         "o_orderkey", point_in_interval(F.col("o_orderkey") % 1000, spans, "kind", "human").alias("kind"))
 
 
+@query("j25_interval_table", """
+    SELECT o_orderkey, coalesce(min({'a': start, 'b': stop, 'kind': kind}).kind, 'human') AS kind FROM (
+        SELECT o_orderkey, o_custkey % 50 AS k, CAST(o_totalprice AS BIGINT) % 20000 AS at FROM orders) p
+    LEFT JOIN (SELECT l_suppkey % 50 AS k, CAST(l_extendedprice AS BIGINT) % 20000 AS start,
+                      CAST(l_extendedprice AS BIGINT) % 20000 + CAST(l_quantity * l_quantity AS BIGINT) AS stop,
+                      l_returnflag AS kind FROM lineitem WHERE l_orderkey % 20 = 0) i
+    ON p.k = i.k AND i.start <= p.at AND p.at < i.stop GROUP BY o_orderkey""")
+def _(t):
+    from ..operators.intervals import value_at
+
+    points = t.table("orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("k"), (F.col("o_totalprice").cast("decimal(18,0)").cast("long") % 20000).alias("at"))
+    start = F.col("l_extendedprice").cast("decimal(18,0)").cast("long") % 20000
+    spans = t.table("lineitem").where("l_orderkey % 20 = 0").select(
+        (F.col("l_suppkey") % 50).alias("k"), start.alias("start"),
+        (start + (F.col("l_quantity") * F.col("l_quantity")).cast("decimal(18,0)").cast("long")).alias("stop"), F.col("l_returnflag").alias("kind"))
+    return value_at(points, spans, ["k"], "at", "kind", "human").select("o_orderkey", "kind")
+
+
 @query("j26_in_keys", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def _(t):
     keys = t.table("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))

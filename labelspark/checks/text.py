@@ -24,7 +24,7 @@ def _(t):
 
 @query("t01_match_terms_many_parts", "SELECT text_id, term_id, term, start, stop FROM matches")
 def _(t):
-    return _positions(M.match_terms(t.texts(), t.vocabulary(), max_bytes=1000))
+    return _positions(M.match_terms(t.texts(), t.vocabulary(), shards=7))
 
 
 @query("t02_match_normalized", "SELECT text_id, term_id, term, start, stop FROM matches_lower")
@@ -104,9 +104,17 @@ def _(t):
 @query("t06_to_preferred", """
     SELECT text_id, term_id, start, coalesce(pt_code, term_id) AS pt_code, coalesce(pt_name, term) AS pt_name
     FROM matches LEFT JOIN preferred ON llt_code = term_id""")
+def _(t):
+    m = M.match_preferred(t.texts(), t.vocabulary(), preferred_map(t.nodes(), t.edges()))
+    return longs(m.select("text_id", "term_id", "start", "pt_code", "pt_name"), "start")
+
+
+@query("t06_to_preferred_any_table", """
+    SELECT text_id, term_id, count(*) AS n, coalesce(pt_code, term_id) AS pt_code
+    FROM matches LEFT JOIN preferred ON llt_code = term_id GROUP BY ALL""")
 def _(t):
     m = M.match_terms(t.texts(), t.vocabulary())
-    return longs(to_preferred(m, preferred_map(t.nodes(), t.edges())).select("text_id", "term_id", "start", "pt_code", "pt_name"), "start")
+    return to_preferred(m, preferred_map(t.nodes(), t.edges())).groupBy("text_id", "term_id", "pt_code").agg(F.count("*").alias("n"))
 
 
 @query("t07_label_matches", """
@@ -118,13 +126,32 @@ def _(t):
     gold = t.annotation_files().select(
         F.replace("label_id", F.lit("drug"), F.lit("")).alias("text_id"), RS.annotated_codes(F.col("adverse_events")).alias("codes"))
     texts = t.texts().join(gold, "text_id")
-    m = to_preferred(M.match_terms(texts, t.vocabulary()), preferred_map(t.nodes(), t.edges()))
+    m = M.match_preferred(texts, t.vocabulary(), preferred_map(t.nodes(), t.edges()))
     return longs(RS.label_matches(m).select("text_id", "term_id", "start", "class"), "start")
 
 
-@query("t08_resolve_overlaps")
+# matches that ignore case, found by splitting; of a term that overlaps itself, every other one (none here does)
+CI_MATCHES = {
+    "ci_pieces": """
+        SELECT text_id, term_id, term, unnest(string_split(text, term)) AS piece,
+               unnest(range(len(string_split(text, term)))) AS no, len(string_split(text, term)) AS n
+        FROM (SELECT text_id, lower(text) AS text FROM texts) JOIN dictionary_lower ON contains(text, term)""",
+    "ci_parts": """
+        SELECT text_id, term_id, term, CAST(start AS BIGINT) AS start, CAST(start + length(term) AS BIGINT) AS stop
+        FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY text_id, term ORDER BY no) + no * length(term) AS start FROM ci_pieces)
+        WHERE no < n - 1""",
+}
+
+
+@query("t08_resolve_overlaps", """
+    SELECT text_id, m.term_id AS term_id, m.term AS term, m.start AS start, m.stop AS stop FROM (
+        SELECT text_id, unnest(list_reduce(list([{'start': start, 'stop': stop, 'term_id': term_id, 'term': term}]
+            ORDER BY stop - start DESC, stop, term_id, term), lambda kept, x: CASE WHEN len(list_filter(kept, lambda k:
+                k.start < x[1].stop AND x[1].start < k.stop)) > 0 THEN kept ELSE list_concat(kept, x) END)) AS m
+        FROM ci_parts GROUP BY text_id)""", **CI_MATCHES)
 def _(t):
-    return M.resolve_overlaps(M.match_terms(t.texts(), t.vocabulary(), case=False))
+    m = M.resolve_overlaps(M.match_terms(t.texts(), t.vocabulary(), case=False))
+    return longs(m.select("text_id", "term_id", "term", "start", (F.col("end") + 1).alias("stop")), "start", "stop")
 
 
 @query("t09_find_all", """
@@ -169,6 +196,20 @@ def _(t):
     return longs(E.flatten_events(flagged, ["label_id"]).select("label_id", "event_no", "flag2"), "event_no")
 
 
+@query("j25_events_in_paragraphs", f"""
+    SELECT 'drug' || e.doc_id AS label_id, i - 1 AS event_no, coalesce({EVIDENCE}, 'human') AS flag2
+    FROM annotation_events e LEFT JOIN paras p ON e.doc_id = p.doc_id AND e.start >= p.start AND e.start < p.start + length(p.paragraph)""", paras=PARAGRAPHS)
+def _(t):
+    from ..operators.intervals import value_at
+
+    records = t.annotation_files()
+    spans = E.paragraphs(records.select("label_id", F.coalesce("section_text", F.lit("")).alias("text")))
+    spans = spans.withColumn("flag2", E.classify_evidence("paragraph"))
+    events = E.flatten_events(records, ["label_id"]).drop("flag2").withColumn("at", F.coalesce(F.col("start").cast("double").cast("int"), F.lit(0)))
+    got = value_at(events.select("label_id", "event_no", "at"), spans, ["label_id"], "at", "flag2", "human")
+    return longs(got.select("label_id", "event_no", "flag2"), "event_no")
+
+
 EV_MATCHES = {
     "ev_texts": f"""SELECT doc_id, section, tac, lower(array_to_string({sql_words('section_text')}, ' ')) AS text FROM annotation_records""",
     "ev_pieces": """
@@ -216,7 +257,19 @@ def _(t):
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("class") == "is_event").alias("n_event"))
 
 
-@query("t15_span_coverage")
+@query("t15_span_coverage", """
+    SELECT text_id, start, stop AS "end", 'vocab' AS type, EXISTS (
+        SELECT 1 FROM spans a WHERE a.text_id = m.text_id AND a.start <= m.start AND a.stop >= m.stop) AS annotated, term_id AS code, term
+    FROM (SELECT DISTINCT * FROM ci_parts) m
+    UNION ALL
+    -- places of a free span that no match covers, in runs
+    SELECT text_id, min(place) AS start, max(place) + 1 AS "end", 'freetext', true, '', 'free' FROM (
+        SELECT *, place - row_number() OVER (PARTITION BY text_id, start ORDER BY place) AS run FROM (
+            SELECT s.text_id, s.start, p.place FROM spans s, LATERAL (SELECT unnest(range(s.start, s.stop)) AS place) p
+            WHERE s.source = 'text_select' AND (s.text_id, p.place) NOT IN (
+                SELECT (text_id, place) FROM (SELECT text_id, unnest(range(start, stop)) AS place FROM ci_parts)))) GROUP BY text_id, start, run""",
+       spans="""SELECT CAST(doc_id AS VARCHAR) AS text_id, start, start + 60 AS stop, CASE WHEN doc_id % 2 = 0 THEN 'text_select' ELSE 'vocab' END AS source
+            FROM (SELECT doc_id, unnest(range(0, greatest(length(text), 1), 150)) AS start FROM documents)""", **CI_MATCHES)
 def _(t):
     m = M.match_terms(t.texts(), t.vocabulary(), case=False)
     doc = F.col("doc_id")
@@ -227,6 +280,34 @@ def _(t):
     return M.span_coverage(m, anns)
 
 
-@query("q20_label_detail")
+@query("t01_match_all_phrases", """
+    SELECT text_id, term_id, term, i - 1 AS start FROM (SELECT *, unnest(range(1, length(text) - 7)) AS i FROM texts) p
+    JOIN phrases t ON substr(p.text, p.i, 8) = t.head AND substr(p.text, p.i, length(t.term)) = t.term""",
+       phrases=f"""SELECT text AS term, left(text, 8) AS head, max(text_id) AS term_id FROM (
+            SELECT item_id || '.' || n || '.' || i AS text_id, array_to_string(w[i:i + n - 1], ' ') AS text FROM (
+                SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM (
+                    SELECT item_id, {sql_words('text')} AS w, unnest([2, 3, 4, 5]) AS n FROM benchmark)))
+            WHERE length(text) >= 8 GROUP BY text""")
+def _(t):
+    return longs(M.match_terms(t.texts(), t.phrases()).select("text_id", "term_id", "term", "start"), "start")
+
+
+@query("q20_label_detail", """
+    SELECT set_id, section, m.term_id AS term_id, m.term AS term, m.start AS start, m.stop AS stop,
+           coalesce(pt_code, m.term_id) AS pt_code, coalesce(pt_name, m.term) AS pt_name FROM (
+        SELECT set_id, section, unnest(list_reduce(list([{'start': start, 'stop': stop, 'term_id': term_id, 'term': term}]
+            ORDER BY stop - start DESC, stop, term_id, term), lambda kept, x: CASE WHEN len(list_filter(kept, lambda k:
+                k.start < x[1].stop AND x[1].start < k.stop)) > 0 THEN kept ELSE list_concat(kept, x) END)) AS m
+        FROM detail_spans WHERE length(term) >= 4 GROUP BY set_id, section)
+    LEFT JOIN preferred ON llt_code = m.term_id""",
+       detail_pieces="""SELECT set_id, section, term_id, term, unnest(string_split(text, term)) AS piece,
+               unnest(range(len(string_split(text, term)))) AS no, len(string_split(text, term)) AS n
+            FROM (SELECT set_id, section, lower(text) AS text FROM (
+                UNPIVOT (SELECT set_id, AR, BW, WP FROM us_labels) ON AR, BW, WP INTO NAME section VALUE text) WHERE trim(text) <> '')
+            JOIN dictionary_lower ON contains(text, term)""",
+       detail_spans="""SELECT set_id, section, term_id, term, CAST(start AS BIGINT) AS start, CAST(start + length(term) AS BIGINT) AS stop
+            FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY set_id, section, term ORDER BY no) + no * length(term) AS start
+                  FROM detail_pieces) WHERE no < n - 1""")
 def _(t):
-    return L.label_detail(t.us_labels(), t.vocabulary(), preferred_map(t.nodes(), t.edges()), ["AR", "BW", "WP"])
+    got = L.label_detail(t.us_labels(), t.vocabulary(), preferred_map(t.nodes(), t.edges()), ["AR", "BW", "WP"])
+    return longs(got.select("set_id", "section", "term_id", "term", "start", (F.col("end") + 1).alias("stop"), "pt_code", "pt_name"), "start", "stop")

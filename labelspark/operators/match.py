@@ -1,7 +1,7 @@
 """Vocabulary matching on texts and the word context of each match.
 
 The scan itself runs in an Arrow UDF that receives the text column only and returns small
-hit records. Texts stay in the JVM: they are split into words once per text and every
+hit records (see ``dictionary``). Texts stay in the JVM: they are split into words once per text and every
 context is cut out of that array, so its cost does not depend on the length of the text.
 """
 
@@ -14,55 +14,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import words
-from ..schemas import GAPS, HITS
 from ..session import stage
-from .ordered import number_rows, running
+from .dictionary import Dictionary, groups, opened, preferred_terms, write_dictionary
+from .intervals import contained, longest_first, uncovered
+from .ordered import number_rows
 
-# A vocabulary above this many bytes is matched in several passes, one broadcast part each.
-MAX_BROADCAST_BYTES = 16 << 20
 
-def term_dictionary(vocab: DataFrame, lower: bool = False) -> DataFrame:
-    """One code per term text (the greatest one), empty terms dropped."""
+def term_dictionary(vocab: DataFrame, lower: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One code per term text (the greatest one) with that code's ``carry`` columns, empty terms dropped."""
     text = F.lower("text") if lower else F.col("text")
+    best = F.max(F.struct("text_id", *carry))
     return (
-        vocab.select("text_id", text.alias("text"))
+        vocab.select("text_id", text.alias("text"), *carry)
         .where("text is not null and text != ''")
-        .groupBy("text").agg(F.max("text_id").alias("text_id"))
+        .groupBy("text").agg(best.alias("_t")).select("text", "_t.*")
     )
 
 
-# --- the scan (runs in Python workers) ---------------------------------------------------
+def open_dictionary(
+    vocab: DataFrame, case: bool = True, carry: tuple[str, ...] = (), shards: int | None = None,
+) -> Dictionary:
+    """Write a vocabulary once, for any number of ``find_terms`` over tables or batches of a stream."""
+    return write_dictionary(term_dictionary(vocab, lower=not case, carry=carry), carry, shards)
 
 
-def _build_index(terms: list[tuple[str, str]]):
-    """An automaton over the terms, or plain look-up tables where none is installed."""
-    try:
-        import ahocorasick
-    except ImportError:
-        by_length: dict[int, dict[str, str]] = {}
-        for code, term in terms:
-            by_length.setdefault(len(term), {})[term] = code
-        return sorted(by_length.items(), reverse=True)
-    if not terms:
-        return []
-    automaton = ahocorasick.Automaton()
-    for code, term in terms:
-        automaton.add_word(term, (code, term))
-    automaton.make_automaton()
-    return automaton
-
-
-def _hits(index, text: str) -> list[tuple[int, str, str]]:
-    """All (end, code, term) in the order of their ends, longer terms first."""
-    if not isinstance(index, list):
-        return [(end, code, term) for end, (code, term) in index.iter(text)]
-    found = []
-    for end in range(len(text)):
-        for length, table in index:
-            term = text[end + 1 - length:end + 1] if end + 1 >= length else None
-            if term in table:
-                found.append((end, table[term], term))
-    return found
+# --- the scan (runs in Python workers) ---------------------------------------------------
 
 
 def _word_bounds(text: str) -> tuple[list[int], list[int]]:
@@ -81,93 +57,83 @@ def _window(text: str, starts: list[int], ends: list[int], start: int, stop: int
     return whole, head, nxt, tail
 
 
-def _scanner(broadcast):
-    """An Arrow UDF text -> hits over a broadcast part of the vocabulary."""
-    @F.arrow_udf(HITS)
+_SPAN = "term_id string, term string, start int, end int"
+_WINDOW = "n_before int, head string, n_after int, tail string"
+
+
+def _scanner(dictionary: Dictionary, windows: bool):
+    """An Arrow UDF text -> hits. What stands around a hit is read off only where something derives from it."""
+    carry = dictionary.carry
+    fields = [_SPAN, *([_WINDOW] if windows else []), *(f"`{c}` string" for c in carry)]
+
+    @F.arrow_udf(f"array<struct<{', '.join(fields)}>>")
     def scan(texts):
+        import numpy as np
         import pyarrow as pa
 
-        part = broadcast.value
-        if "index" not in part:  # once per Python worker
-            part["index"] = _build_index(part["terms"])
-        index = part["index"]
-        columns = [[] for _ in range(8)]
-        offsets = [0]
-        for text in texts.to_pylist():
-            found = _hits(index, text) if text else []
-            if found:
-                starts, ends = _word_bounds(text)
-                for end, code, term in found:
-                    start = end - len(term) + 1
-                    row = (code, term, start, end, *_window(text, starts, ends, start, end + 1))
-                    for column, value in zip(columns, row):
-                        column.append(value)
-            offsets.append(len(columns[0]))
-        names = ["term_id", "term", "start", "end", "n_before", "head", "n_after", "tail"]
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(),
-                 pa.int32(), pa.string(), pa.int32(), pa.string()]
-        values = pa.StructArray.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
-        )
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+        matcher, parts = opened(dictionary.path), []
+        for first, group in groups(texts.to_pylist()):
+            text, start, term = matcher.find(group)
+            stop = start + matcher.length[term]
+            terms = matcher.table.take(pa.array(term))
+            own = {"term_id": terms.column("text_id"), "term": terms.column("text"),
+                   "start": pa.array(start, pa.int32()), "end": pa.array(stop - 1, pa.int32())}
+            if windows:
+                bounds, around = {}, []
+                for t, a, b in zip(text.tolist(), start.tolist(), stop.tolist()):
+                    if t not in bounds:
+                        bounds = {t: _word_bounds(group[t])}
+                    around.append(_window(group[t], *bounds[t], a, b))
+                kinds = (pa.int32(), pa.string(), pa.int32(), pa.string())
+                for name, kind, values in zip(("n_before", "head", "n_after", "tail"), kinds, zip(*around) if around else [()] * 4):
+                    own[name] = pa.array(values, kind)
+            own |= {c: terms.column(c).cast(pa.string()) for c in carry}
+            flat = [v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v for v in own.values()]
+            values = pa.StructArray.from_arrays(flat, names=list(own))
+            counts = np.bincount(text, minlength=len(group))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+        return pa.concat_arrays(parts)
 
     # keeps the optimiser from running the scan a second time inside a pushed-down filter
     return scan.asNondeterministic()
 
 
-def _vocabulary_parts(dictionary: DataFrame, max_bytes: int):
-    """Broadcast parts of a term dictionary, each of checked size."""
-    spark = dictionary.sparkSession
-    size = dictionary.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    n = max(1, -(-size // max_bytes))
-    for i in range(n):
-        own = dictionary if n == 1 else dictionary.where(
-            F.pmod(F.xxhash64("text"), F.lit(n)) == i
-        )
-        terms = [(r["text_id"], r["text"]) for r in own.select("text_id", "text").collect()]
-        yield spark.sparkContext.broadcast({"terms": terms})
-
-
 Derive = Callable[[Column, Column], Column]
 
 
 def find_terms(
-    texts: DataFrame, vocab: DataFrame, case: bool = True, normalize: bool = False,
+    texts: DataFrame, vocab: DataFrame | Dictionary, case: bool = True, normalize: bool = False,
     derive: dict[str, Derive] | None = None, keep_text: bool = False,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    carry: tuple[str, ...] = (), shards: int | None = None,
 ) -> DataFrame:
     """Every occurrence of every term, inside words and overlapping ones too.
 
     ``texts`` needs a ``text`` column; its other columns are kept. ``normalize`` squeezes white
     space and lower-cases the text first (then matching ignores case). Adds ``term_id``,
-    ``term``, ``start`` and ``end`` (both from 0, end inclusive) and the ``derive`` columns, made
-    from the hit record and the text's word array.
+    ``term``, ``start`` and ``end`` (both from 0, end inclusive), the string columns that the vocabulary's
+    codes ``carry``, and the ``derive`` columns, made from the hit record and the text's word array.
 
-    A narrow operation without a shuffle. Derived columns are made in the stage of the scan, so
-    neither the text nor its words ever reach a join or a shuffle with the hits.
+    The vocabulary is written as a dictionary first; one that ``open_dictionary`` has written, with the same
+    case, is used as it is. The texts are read once, by a narrow operation without a shuffle, whatever the number
+    of terms. Derived columns are made in the stage of the scan, so neither the text nor its words ever reach a
+    join or a shuffle with the hits. Null and empty texts have no hits.
     """
     ignore_case = normalize or not case
-    dictionary = term_dictionary(vocab, lower=ignore_case)
+    known = vocab if isinstance(vocab, Dictionary) else open_dictionary(vocab, not ignore_case, carry, shards)
     if normalize:
         texts = texts.withColumn("text", F.lower(F.array_join(words("text"), " ")))
     elif ignore_case:
         texts = texts.withColumn("text", F.lower("text"))
     others = [c for c in texts.columns if keep_text or c != "text"]
-    base = ["term_id", "term", "start", "end"]
-
-    passes = []
-    for part in _vocabulary_parts(dictionary, max_bytes):
-        scanned = texts.where(F.col("text").isNotNull()).withColumn(
-            "_hits", _scanner(part)(F.col("text"))
-        )
-        # words are split before the explode: once per text, not once per hit
-        held = ["_words"] if derive else []
-        if derive:
-            scanned = scanned.withColumn("_words", words("text"))
-        passes.append(scanned.select(*others, *held, F.explode("_hits").alias("_h")))
-    out = passes[0]
-    for more in passes[1:]:
-        out = out.unionByName(more)
+    base = ["term_id", "term", "start", "end", *known.carry]
+
+    scanned = texts.where(F.col("text").isNotNull()).withColumn("_hits", _scanner(known, bool(derive))(F.col("text")))
+    # words are split before the explode: once per text, not once per hit
+    held = ["_words"] if derive else []
+    if derive:
+        scanned = scanned.withColumn("_words", words("text"))
+    out = scanned.select(*others, *held, F.explode("_hits").alias("_h"))
     made = [fn(F.col("_h"), F.col("_words")).alias(n) for n, fn in (derive or {}).items()]
     return out.select(*others, *[F.col("_h")[c].alias(c) for c in base], *made)
 
@@ -175,6 +141,15 @@ def find_terms(
 match_terms = find_terms
 
 
+def match_preferred(texts: DataFrame, vocab: DataFrame, preferred: DataFrame, **how) -> DataFrame:
+    """Matches with their preferred term (pt_code, pt_name); a term without a parent is its own.
+
+    The preferred term travels in the dictionary: a term with a third of all hits meets no join.
+    """
+    hits = find_terms(texts, preferred_terms(vocab, preferred), carry=("pt_code", "pt_name"), **how)
+    return hits.withColumns({"pt_code": F.coalesce("pt_code", "term_id"), "pt_name": F.coalesce("pt_name", "term")})
+
+
 # --- contexts ----------------------------------------------------------------------------
 
 
@@ -357,38 +332,8 @@ def match_examples(
 
 
 def resolve_overlaps(matches: DataFrame, key: str = "text_id") -> DataFrame:
-    """Longest-first choice of matches that do not overlap, per text.
-
-    Matches are first cut at the gaps no match covers. The choice is then made inside each
-    stretch of touching matches, never over all matches of a text.
-    """
-    # range boundaries are sampled, so the matches are written once instead of found twice
-    spans = stage(matches, "matches").withColumn("_stop", F.col("end") + 1).withColumn(
-        "_tie", F.xxhash64(*[F.col(c) for c in matches.columns])
-    )
-    order = ["start", "end", "_tie"]
-    reach = running(
-        spans, order, {"_reach": ("max", F.col("_stop"))}, within=[key], exclusive=True
-    )
-    # a stretch begins where everything before ends at or before this start
-    begins = F.coalesce(F.col("start") >= F.col("_reach"), F.lit(True))
-    marked = running(
-        reach, order, {"_island": ("max", F.when(begins, F.col("start")))}, within=[key]
-    )
-    names = [c for c in matches.columns if c != key]
-    ranked = F.struct(
-        -(F.col("_stop") - F.col("start")).alias("_len"), F.col("end").alias("_e"), *names
-    )
-    grouped = marked.groupBy(key, "_island").agg(F.sort_array(F.collect_list(ranked)).alias("_m"))
-    empty = F.filter("_m", lambda m: F.lit(False))
-    free = F.aggregate(
-        "_m", empty,
-        lambda kept, m: F.when(
-            F.exists(kept, lambda k: (m["start"] <= k["end"]) & (k["start"] <= m["end"])), kept
-        ).otherwise(F.array_append(kept, m)),
-    )
-    chosen = grouped.select(key, F.explode(free).alias("_k"))
-    return chosen.select(key, *[F.col(f"_k.{n}").alias(n) for n in names]).select(*matches.columns)
+    """Longest-first choice of matches that do not overlap, per text (see ``intervals.longest_first``)."""
+    return longest_first(matches, key)
 
 
 def find_all(texts: DataFrame, phrase: str) -> DataFrame:
@@ -411,74 +356,23 @@ def find_all(texts: DataFrame, phrase: str) -> DataFrame:
     )
 
 
-def span_coverage(
-    matches: DataFrame, annotations: DataFrame, key: str = "text_id", width: int = 512
-) -> DataFrame:
+def span_coverage(matches: DataFrame, annotations: DataFrame, key: str = "text_id") -> DataFrame:
     """Regions to show for a text: matches, and what free-text annotations add to them.
 
     A match is ``annotated`` when one annotation contains it. The parts of a free-text
-    annotation (``source`` text_select) no match covers become ``freetext`` regions. Spans meet
-    on fixed-width position cells, so two spans are compared only where they can overlap.
+    annotation (``source`` text_select) no match covers become ``freetext`` regions. Both are sweeps over
+    the sorted ends of the spans, so a text or a span of any length is cut like any other stretch of rows.
     """
-    m = matches.select(
-        key, F.monotonically_increasing_id().alias("_x"), "start", (F.col("end") + 1).alias("stop"),
-        F.col("term_id").alias("code"), "term",
-    ).drop("_x").distinct()
-    a = annotations.select(
-        key, F.col("start").alias("a_start"), F.col("end").alias("a_stop"), "term_text", "source"
-    ).distinct()
-    cell = lambda c: F.floor(c / width)
-    m_cell = m.withColumn("_cell", cell(F.col("start")))  # containment: the start cell decides
-    a_cells = a.withColumn(
-        "_cell", F.explode(F.sequence(cell(F.col("a_start")), cell(F.col("a_stop"))))
-    )
-    holder = (m_cell.start >= a_cells.a_start) & (m_cell.stop <= a_cells.a_stop)
-    covered = m_cell.join(
-        a_cells.select(key, "_cell", "a_start", "a_stop"),
-        (m_cell[key] == a_cells[key]) & (m_cell._cell == a_cells._cell) & holder, "left_semi",
-    ).drop("_cell").withColumn("annotated", F.lit(True))
-    vocab = m.join(covered.select(key, "start", "stop", "code", "annotated"),
-                   [key, "start", "stop", "code"], "left").select(
-        key, "start", F.col("stop").alias("end"), F.lit("vocab").alias("type"),
-        F.coalesce("annotated", F.lit(False)).alias("annotated"), "code", "term",
-    )
-    # uncovered parts: per annotation the overlapping matches in order, then the gaps
-    free = a.where("source = 'text_select'")
-    free_cells = free.withColumn(
-        "_cell", F.explode(F.sequence(cell(F.col("a_start")), cell(F.col("a_stop"))))
-    )
-    m_cells = m.select(key, "start", "stop").distinct().withColumn(
-        "_cell", F.explode(F.sequence(cell(F.col("start")), cell(F.col("stop"))))
-    )
-    touching = free_cells.join(m_cells, [key, "_cell"]).where(
-        (F.col("a_stop") > F.col("start")) & (F.col("a_start") < F.col("stop"))
-    )
-    spans = (
-        touching.select(key, "a_start", "a_stop", "term_text", "start", "stop").distinct()
-        .groupBy(key, "a_start", "a_stop", "term_text")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_s"))
-    )
-    joined = free.drop("source").distinct().join(
-        spans, [key, "a_start", "a_stop", "term_text"], "left"
-    )
-    step = F.aggregate(
-        F.coalesce("_s", F.array().cast("array<struct<start:int,stop:int>>")),
-        F.struct(F.array().cast(GAPS).alias("gaps"), F.col("a_start").cast("int").alias("at")),
-        lambda acc, s: F.struct(
-            F.when(
-                s["start"] > acc["at"],
-                F.array_append(acc["gaps"], F.struct(acc["at"].alias("a"), s["start"].cast("int").alias("b"))),
-            ).otherwise(acc["gaps"]).alias("gaps"),
-            F.greatest(acc["at"], s["stop"].cast("int")).alias("at"),
-        ),
-        lambda acc: F.when(
-            acc["at"] < F.col("a_stop"),
-            F.array_append(acc["gaps"], F.struct(acc["at"].alias("a"), F.col("a_stop").cast("int").alias("b"))),
-        ).otherwise(acc["gaps"]),
-    )
-    freetext = joined.select(key, "term_text", F.explode(step).alias("_g")).select(
-        key, F.col("_g.a").alias("start"), F.col("_g.b").alias("end"),
-        F.lit("freetext").alias("type"), F.lit(True).alias("annotated"),
-        F.lit("").alias("code"), F.col("term_text").alias("term"),
-    )
+    m = stage(matches.select(
+        key, F.col("start").cast("long"), (F.col("end") + 1).cast("long").alias("stop"), F.col("term_id").alias("code"), "term",
+    ).distinct(), "matches")
+    a = stage(annotations.select(
+        key, F.col("start").cast("long"), F.col("end").cast("long").alias("stop"), "term_text", "source",
+    ).distinct(), "annotations")
+    vocab = contained(m, a, key, "annotated").select(
+        key, "start", F.col("stop").alias("end"), F.lit("vocab").alias("type"), "annotated", "code", "term")
+    free = a.where("source = 'text_select'").select(key, "start", "stop", "term_text")
+    freetext = uncovered(free, m, key).select(
+        key, "start", F.col("stop").alias("end"), F.lit("freetext").alias("type"), F.lit(True).alias("annotated"),
+        F.lit("").alias("code"), F.col("term_text").alias("term"))
     return vocab.unionByName(freetext)

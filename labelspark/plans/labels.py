@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import drug_name, squeeze, strip
 from ..operators.aggregates import page
-from ..operators.match import match_terms, resolve_overlaps
-from ..operators.ontology import to_preferred
+from ..operators.match import match_preferred, resolve_overlaps
 from ..operators.relational import min_length
 from ..schemas import US_SECTIONS
 
@@ -78,7 +77,7 @@ def label_detail(
     texts = rows.select("set_id", *sections).unpivot(["set_id"], sections, "section", "text").where(
         F.length(strip("text")) > 0
     ).select("set_id", "section", F.concat_ws("|", "set_id", "section").alias("text_id"), "text")
-    hits = min_length(match_terms(texts, vocab, case=False), min_len)
-    return to_preferred(resolve_overlaps(hits), preferred)
+    hits = min_length(match_preferred(texts, vocab, preferred, case=False), min_len)
+    return resolve_overlaps(hits)
 
 

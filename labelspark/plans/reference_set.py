@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import id_string, let, valid_id
 from ..operators.match import match_examples
-from ..operators.ontology import to_preferred
+from ..operators.dictionary import preferred_terms
 from ..operators.relational import resolve_sections
 from ..schemas import REFERENCE_SET
 
@@ -98,13 +98,13 @@ def reference_set(
 ) -> DataFrame:
     """Labelled examples of records (drug, section, tac, text, codes).
 
-    A record's codes travel in its own row, so labelling needs no join with the matches.
+    A record's codes travel in its own row and preferred terms in the dictionary, so matches need no join.
     """
     keyed = records.withColumn("_key", F.concat_ws("|", "drug", "section", "tac"))
-    hits = match_examples(keyed, vocab, method, nwords, key="_key", normalize=True)
-    names = vocab.groupBy(F.col("text_id").alias("term_id")).agg(F.max("text").alias("_name"))
-    named = hits.join(names, "term_id", "left")
-    examples = label_matches(to_preferred(named, preferred, "term_id", "_name"))
+    hits = match_examples(keyed, preferred_terms(vocab, preferred), method, nwords, key="_key", normalize=True,
+                          carry=("pt_code", "pt_name", "code_name"))
+    examples = label_matches(hits.withColumns({
+        "pt_code": F.coalesce("pt_code", "term_id"), "pt_name": F.coalesce("pt_name", "code_name")}))
     return examples.select(
         "section", "drug", "tac", F.col("term_id").alias("meddra_id"),
         F.col("pt_code").alias("pt_meddra_id"), F.lit("exact").alias("source_method"), "class",

@@ -81,11 +81,6 @@ TOOL_ANNOTATION = _struct(
     sections=T.MapType(_STRING, T.ArrayType(TOOL_SPAN)),
 )
 ARRIVAL = _struct("source string, product_id string, version string, section string, text string, delivery bigint")
-HITS = T.ArrayType(_struct(
-    "term_id string, term string, start int, end int, "
-    "n_before int, head string, n_after int, tail string"
-))
-GAPS = T.ArrayType(_struct("a int, b int"))
 REFERENCE_SET = _struct(
     "section string, drug string, tac string, meddra_id string, pt_meddra_id string, "
     "source_method string, class string, pt_meddra_term string, found_term string, string string"

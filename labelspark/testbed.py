@@ -146,6 +146,16 @@ class Testbed:
         pairs = F.explode(F.array(*[F.struct(k.cast("string").alias("text_id"), t.alias("text")) for k, t in kinds]))
         return w.select(pairs.alias("p")).select("p.*").where(F.length("text") >= 4)
 
+    def phrases(self) -> DataFrame:
+        """Every run of two to five words of every benchmark item, of eight characters at least."""
+        from .functions import words
+
+        n = F.explode(F.sequence(F.lit(2), F.lit(5))).alias("n")
+        runs = self.table("benchmark").select("item_id", words("text").alias("w"), n).where("size(w) >= n").select(
+            "item_id", "w", "n", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("i"))
+        return runs.select(F.concat_ws(".", "item_id", "n", "i").alias("text_id"),
+                           F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("text")).where(F.length("text") >= 8)
+
     def us_labels(self) -> DataFrame:
         doc = F.col("doc_id")
         return self.documents().select(

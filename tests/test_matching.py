@@ -71,18 +71,63 @@ def test_automaton_equals_naive_search(spark, texts, terms):
         (str(i), w, p, naive_context(t, w, p, 6, 0.5))
         for i, t in enumerate(texts) for w in terms for p in range(len(t)) if t.startswith(w, p))
     assert rows(M.match_contexts(tdf, vdf, 6, 0.5), "text_id", "term", "start", "context") == want
-    hits = M.find_terms(tdf, vdf, keep_text=True, max_bytes=8)
+    hits = M.find_terms(tdf, vdf, keep_text=True, shards=3)
     assert rows(M.with_context(hits, 6, 0.5), "text_id", "term", "start", "context") == want
 
 
-def test_table_lookup_equals_automaton():
-    terms = [("1", "aa"), ("2", "a"), ("3", "ba"), ("4", "aab")]
-    by_length = {}
-    for code, term in terms:
-        by_length.setdefault(len(term), {})[term] = code
-    table = sorted(by_length.items(), reverse=True)
-    text = "aabaaab ba"
-    assert M._hits(table, text) == M._hits(M._build_index(terms), text)
+def plain_hits(text, terms):
+    """(start, term) of every occurrence, by looking up every stretch of a known length."""
+    lengths = {len(t) for t in terms}
+    return sorted((i, text[i:i + n]) for i in range(len(text)) for n in lengths if i + n <= len(text) and text[i:i + n] in terms)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.text("ab\U0001f600 é", min_size=1, max_size=20), max_size=30), st.lists(st.text("ab\U0001f600 é", max_size=60), max_size=6))
+def test_dictionary_is_exact(terms, texts):
+    import pyarrow as pa
+
+    from labelspark.operators import dictionary as D
+
+    terms = sorted(terms)
+    names = ["text", "text_id"]
+    rows = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(terms, pa.string())], names=names)
+    table = pa.Table.from_batches(list(D._hash_terms([rows])))
+    block, D.BLOCK = D.BLOCK, 7
+    try:
+        matcher, got = D.Matcher(table), []
+        for first, group in D.groups(texts):
+            text, start, term = matcher.find(group)
+            got += [(first + t, s, terms[k]) for t, s, k in zip(text.tolist(), start.tolist(), term.tolist())]
+    finally:
+        D.BLOCK = block
+    assert sorted(got) == sorted((i, s, t) for i, x in enumerate(texts) for s, t in plain_hits(x, set(terms)))
+    ends = [(i, s + len(t), s) for i, s, t in got]
+    assert ends == sorted(ends)
+
+
+def test_many_terms_one_scan(spark, sf_dir):
+    """100,000 terms and more, found in one reading of the texts; no term passes through the driver."""
+    from labelspark.operators import match
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    words = sorted({w for r in docs.collect() for w in (r.text or "").split()})
+    terms = sorted({f"{a} {b}" for a in words[:400] for b in words[:260]} | set(words))
+    assert len(terms) > 100_000
+    vocab = spark.createDataFrame([(str(i), t) for i, t in enumerate(terms)], "text_id string, text string").repartition(4)
+    known = match.open_dictionary(vocab, shards=3)
+    found = match.find_terms(docs, known)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    want = sorted((r.doc_id, s, t) for r in docs.collect() for s, t in plain_hits(r.text or "", set(terms)))
+    assert sorted(tuple(r) for r in found.select("doc_id", "start", "term").collect()) == want and len(want) > 1000
+
+
+def test_preferred_terms_travel_with_hits(spark):
+    vocab = spark.createDataFrame([("1", "foo"), ("2", "bar"), ("2", "barn")], "text_id string, text string")
+    preferred = spark.createDataFrame([("1", "9", "Foo disease"), ("1", "8", "Other")], "llt_code string, pt_code string, pt_name string")
+    texts = spark.createDataFrame([("t", "Foo bar"), ("n", None), ("e", "")], "text_id string, text string")
+    got = rows(M.match_preferred(texts, vocab, preferred, case=False), "term", "pt_code", "pt_name")
+    assert got == [("bar", "2", "bar"), ("foo", "9", "Foo disease")]
 
 
 def test_one_code_per_term(spark):
@@ -138,6 +183,54 @@ def test_resolve_overlaps(spark, raw):
     assert got == want
 
 
+def test_resolve_one_long_stretch(spark, monkeypatch):
+    """Spans that all touch: borders lie inside the stretch, and decisions pass over them."""
+    from labelspark.operators.intervals import longest_first
+
+    df = spark.range(20_000).select(F.lit("t").alias("text_id"), F.lit("x").alias("term"), F.col("id").cast("int").alias("start"),
+                                    (F.col("id") + 2 + F.when(F.col("id") % 97 == 0, 3).otherwise(0)).cast("int").alias("end"))
+    want = greedy([(r.start, r.end) for r in df.collect()])
+    for cell in (256, 1 << 16):
+        assert rows(longest_first(df, cell=cell), "start", "end") == want
+    long = spark.createDataFrame([("t", "w", 0, 5000), ("t", "a", 10, 20), ("t", "b", 4990, 5010), ("u", "a", 1, 2)],
+                                 "text_id string, term string, start int, end int")
+    assert rows(longest_first(long, cell=64), "text_id", "start") == [("t", 0), ("u", 1)]
+    assert longest_first(long.where("false")).isEmpty()
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 900), st.integers(0, 700)), max_size=25),
+       st.lists(st.tuples(st.sampled_from([0, 1, None]), st.integers(0, 1700)), min_size=1, max_size=25))
+def test_value_at(spark, spans, points):
+    from labelspark.operators.intervals import value_at
+
+    intervals = spark.createDataFrame([(k, a, a + n, f"v{i % 5}") for i, (k, a, n) in enumerate(spans)], "k int, start int, stop int, v string")
+    df = spark.createDataFrame([(i, k, p) for i, (k, p) in enumerate(points)], "i int, k int, p int")
+    want = []
+    for i, (k, p) in enumerate(points):
+        holds = [(a, a + n, f"v{j % 5}") for j, (x, a, n) in enumerate(spans) if x == k and a <= p < a + n]
+        want.append((i, min(holds)[2] if holds else "human"))
+    assert rows(value_at(df, intervals, ["k"], "p", "v", "human", hot=3), "i", "v") == sorted(want)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 150), st.integers(1, 30)), min_size=1, max_size=20),
+       st.lists(st.tuples(st.integers(0, 1), st.integers(0, 150), st.integers(0, 60)), min_size=1, max_size=12))
+def test_coverage_by_sweeps(spark, covers, spans):
+    from labelspark.operators.intervals import contained, uncovered
+
+    a = spark.createDataFrame([(k, s, s + n, str(i)) for i, (k, s, n) in enumerate(spans)], "k int, start long, stop long, name string")
+    b = spark.createDataFrame([(k, s, s + n) for k, s, n in covers], "k int, start long, stop long")
+    want = []
+    for i, (k, s, n) in enumerate(spans):
+        free = [p for p in range(s, s + n) if not any(x == k and c <= p < c + m for x, c, m in covers)]
+        runs = [p for p in free if p - 1 not in free]
+        want += [(str(i), p, next(q for q in range(p, s + n + 1) if q not in free)) for p in runs]
+    assert rows(uncovered(a, b, "k", width=16), "name", "start", "stop") == sorted(want)
+    holds = sorted((str(i), any(x == k and c <= s and s + n <= c + m for x, c, m in covers)) for i, (k, s, n) in enumerate(spans))
+    assert rows(contained(a, b, "k", "in"), "name", "in") == holds
+
+
 def test_find_all(spark):
     df = spark.createDataFrame([("t", "Aa aAa (x) aa")], "k string, text string")
     assert rows(M.find_all(df, "AA"), "start", "end", "term_text") == [(0, 2, "Aa"), (3, 5, "aA"), (11, 13, "aa")]
