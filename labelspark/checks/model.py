@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.match import match_contexts
+from ..operators.match import match_contexts, open_dictionary
 from ..operators.ontology import preferred_map
 from ..plans import evaluation as E
 from ..plans import reference_set as RS
@@ -152,7 +152,7 @@ def _(t):
     FROM matches, (VALUES ('AR'), ('WP')) AS s(section) WHERE section = 'AR' OR CAST(text_id AS BIGINT) % 4 < 2""")
 def _(t):
     inbox, sink, ckpt = (scratch_path(t.spark, n) for n in ("inbox", "sink", "ckpt"))
-    vocab = t.vocabulary()
+    vocab = open_dictionary(t.vocabulary())  # once for the stream, not once a batch
 
     def process(batch):
         return match_contexts(batch, vocab)
