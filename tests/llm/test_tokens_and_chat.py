@@ -47,6 +47,19 @@ def test_encoder_is_the_library(library):
     assert Encoder(JSON).encode_batch(ranged) == want
 
 
+def test_every_vocabulary_string_is_its_own_id(library):
+    """Words are merged by ranks: that is the library's result only if merges lead to every string of the vocabulary."""
+    from labelspark.llm.bpe_queue import vocabulary_of
+
+    v, merge = vocabulary_of(JSON), Encoder(JSON).merge
+    assert all(v.encode_word(text) == [i] for i, text in v.text.items() if i not in v.added.values())
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeéß日 1!'") for _ in range(rng.randint(1, 30))).replace(" ", "") or "x" for _ in range(3000)]
+    split = Encoder(JSON).findall
+    words = [w for t in words for w in split(t)]
+    assert [merge(w) for w in words] == [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("size,overlap", [(400, 150), (1 << 15, 1 << 10)])
 def test_counts_are_the_library_s(spark, odd, docs, library, size, overlap):
     more = spark.createDataFrame([(-3, "abc<|endoftext|>" * 300 + "x"), (-4, "z" * 3000), (-5, "a b " * 900), (-6, " \n" * 1500),
