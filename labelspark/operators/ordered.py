@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from ..session import stage
 from .joins import null_safe_join
 
-UNFOLD = 10_000  # copies that one row unfolds into at a time
+UNFOLD = 1_000  # copies of one row that stay together
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -24,15 +24,21 @@ def ordered_blocks(df: DataFrame, keys: list[str], descending: bool = False) ->
     The result is a written table, so block numbers cannot change on a retry.
     """
     order = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
-    blocks = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_block", F.spark_partition_id())
-        .withColumn(
-            "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-        )
-    )
-    return stage(blocks, "blocks")
+    return stage(_with_place(df.repartitionByRange(*order).sortWithinPartitions(*order)), "blocks")
+
+
+def _with_place(df: DataFrame) -> DataFrame:
+    """``_block``, the number of the partition, and ``_pos``, the place in it from 0."""
+    return df.withColumn("_block", F.spark_partition_id()).withColumn(
+        "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+
+
+def _number_blocks(blocks: DataFrame, name: str, start: int) -> DataFrame:
+    """``name``: the place in the block plus the rows of all blocks before it, one small row per block."""
+    per_block = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("n"))
+    carried = _carry(per_block, [], {"n": "sum"})
+    return blocks.join(F.broadcast(carried), "_block", "left").withColumn(
+        name, F.col("_pos") + F.coalesce(F.col("_c_n"), F.lit(0)) + F.lit(start))
 
 
 def _carry(per_block: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
@@ -96,12 +102,7 @@ def number_rows(
 ) -> DataFrame:
     """Dense row numbers in the order of ``keys`` over the whole table."""
     blocks = ordered_blocks(df, keys, descending)
-    per_block = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("n"))
-    carried = _carry(per_block, [], {"n": "sum"})
-    numbered = blocks.join(F.broadcast(carried), "_block", "left").withColumn(
-        name, F.col("_pos") + F.coalesce(F.col("_c_n"), F.lit(0)) + F.lit(start)
-    )
-    return numbered.select(*df.columns, name)
+    return _number_blocks(blocks, name, start).select(*df.columns, name)
 
 
 def with_surrogate_id(
@@ -109,9 +110,11 @@ def with_surrogate_id(
 ) -> DataFrame:
     """A generated integer key, the same for the same table (the auto-increment of a sink).
 
-    Equal rows are counted first and numbered as one stretch, so a row repeated any number of
-    times is one record until the very last step. ``copies`` names a column with these counts
-    when the rows come counted already (each row once).
+    Equal rows are counted first, so a row repeated any number of times is one record in the grouping and a few in the
+    range shuffle: it travels as pieces of at most ``UNFOLD`` copies, which the block boundaries may part. Copies appear
+    in the sorted block, where the file keeps runs of equal values; a row's place there plus the sizes of the blocks
+    before it is its key. No second shuffle. ``copies`` names a column with the counts when the rows come counted
+    already (each row once); without copies, or with a null count, a row has no key.
     """
     columns = [c for c in df.columns if c != copies]
     counted = (
@@ -119,11 +122,14 @@ def with_surrogate_id(
         else df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     )
     order = keys + [c for c in columns if c not in keys]
-    ends = running(counted, order, {"_last": ("sum", F.col("_copies"))})
-    first, last = F.col("_last") - F.col("_copies") + F.lit(start), F.col("_last") + F.lit(start - 1)
-    # in two steps, so that no row becomes one huge array
-    chunks = ends.where("_copies > 0").select(
-        F.explode(F.sequence(first, last, F.lit(UNFOLD).cast("bigint"))).alias("_from"), last.alias("_to"), *columns)
-    return chunks.select(
-        F.explode(F.sequence("_from", F.least("_to", F.col("_from") + F.lit(UNFOLD - 1)))).alias(name), *columns
+    pieces = counted.where("_copies > 0").select(
+        *columns, "_copies",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"), F.lit(UNFOLD).cast("bigint"))).alias("_from"))
+    pieces = pieces.withColumn("_take", F.least(F.lit(UNFOLD).cast("bigint"), F.col("_copies") - F.col("_from") + 1))
+    placed = [F.col(c).asc() for c in [*order, "_from"]]
+    unfolded = (
+        pieces.repartitionByRange(*placed).sortWithinPartitions(*placed)
+        .select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))).alias("_copy")).drop("_copy")
     )
+    blocks = stage(_with_place(unfolded), "numbered")
+    return _number_blocks(blocks, name, start).select(name, *columns)
