@@ -24,7 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, bpe_ranks, map_arrow, narrow, tokenizer_path
+from ..session import stage
+from .common import Batches, bpe_ranks, map_arrow, most_frequent, narrow, tokenizer_path
 from .tokens import SPLIT, is_older, older_split
 
 MAX_WORDS = 1 << 19  # words in the table that every task gets: some 20 MB at most
@@ -161,11 +162,13 @@ def _count(batches: Batches, pattern: str) -> Batches:
 
 
 def encoded_words(texts: DataFrame, vocabulary: str, pattern: str, max_words: int = MAX_WORDS) -> dict[str, bytes]:
-    """The ids (unsigned 32-bit) of the most frequent words of the corpus, at most ``max_words`` of them."""
+    """The ids (unsigned 32-bit) of the most frequent words of the corpus, about ``max_words`` of them:
+    the cut lies on a histogram of the counts, so no task sorts words."""
     counts = map_arrow(texts.select("text"), lambda bs: _count(bs, pattern), "word binary, seen long")
-    top = (counts.filter(F.octet_length("word") <= MAX_WORD_BYTES).groupBy("word").agg(F.sum("seen").alias("seen"))
-           .filter("seen > 1").orderBy(F.desc("seen"), "word").limit(max_words).select("word"))
-    blocks = top.repartition(16, F.xxhash64("word"))
+    counted = (counts.filter(F.octet_length("word") <= MAX_WORD_BYTES).groupBy("word").agg(F.sum("seen").alias("seen"))
+               .filter("seen > 1"))
+    top = most_frequent(stage(counted, "words"), "seen", max_words)
+    blocks = top.select("word").repartition(16, F.xxhash64("word"))
 
     def run(batches: Batches) -> Batches:
         ranks, _ = merges(tokenizer_path(vocabulary))

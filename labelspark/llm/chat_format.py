@@ -1,8 +1,8 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
 A record is a variant of any layout: a list of messages, a prompt with its response, an instruction with its input and
-output, or one turn per row. The hash of its nested field paths, types left aside, is its fingerprint; a declarative
-mapping for that fingerprint says where the turns are. Canonical turns are then written in a template:
+output, or one turn per row. The hash of its nested field paths, as far as layouts declare them, is its fingerprint; a
+declarative mapping for that fingerprint says where the turns are. Canonical turns are then written in a template:
 
     ### user
     text</turn>
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let
@@ -58,43 +58,55 @@ ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assi
 
 
 def field_paths(record: Column, depth: int = 4) -> Column:
-    """Sorted paths to the leaves of a variant, lists as ``[]``: what is hashed. Types do not count.
+    """Paths to the leaves of a variant, lists as ``[]``, items of a list taken together. Types do not count.
 
-    Read from the variant's schema string: at every step the innermost object or list of plain fields is replaced by
-    its paths, up to ``depth`` levels.
+    What lies deeper than ``depth`` counts as a leaf; null for what is no object.
     """
-    text = F.regexp_replace(F.schema_of_variant(record), r"\bOBJECT<>", "VOID")
-    # a leaf type becomes empty; `name: TYPE` becomes name
-    text = F.regexp_replace(text, r"\b(?:BIGINT|STRING|VOID|BOOLEAN|DOUBLE|FLOAT|DATE|BINARY|VARIANT|TIMESTAMP(?:_NTZ)?|INTERVAL[A-Z ]*|DECIMAL\(\d+,\s*\d+\))", "")
-    for _ in range(depth):
-        # a list of leaves: name[]; an object of leaves inside a list or another object: its names with the prefix
-        text = F.regexp_replace(text, r"ARRAY<>", "[]")
-        text = F.regexp_replace(text, r"ARRAY<OBJECT<([^<>]*)>>", "[]{$1}")
-        text = F.regexp_replace(text, r"OBJECT<([^<>]*)>(?=[,>])", "{$1}")
-    return text
+    entries = F.map_entries(F.try_variant_get(record, "$", "map<string,variant>"))
+    if depth == 1:
+        return F.transform(entries, lambda e: e["key"])
 
+    def under(prefix: Column, inner: Column) -> Column:
+        return F.when(F.size(inner) > 0, F.transform(inner, lambda p: F.concat(prefix, p))).otherwise(F.array(prefix))
 
-def layout_key(layout: Layout) -> str:
-    """The string that ``field_paths`` gives for the layout."""
-    tree: dict = {}
-    for p in layout.paths:
-        node = tree
-        for part in p.split("."):
-            node = node.setdefault(part, {})
+    def one(e: Column) -> Column:
+        items = F.try_variant_get(e["value"], "$", "array<variant>")
+        in_items = F.array_distinct(F.flatten(F.transform(items, lambda v: F.coalesce(
+            F.transform(field_paths(v, depth - 1), lambda p: F.concat(F.lit("."), p)), F.array(F.lit(""))))))
+        inside = F.transform(field_paths(e["value"], depth - 1), lambda p: F.concat(F.lit("."), p))
+        return (F.when(items.isNotNull(), under(F.concat(e["key"], F.lit("[]")), in_items))
+                .when(inside.isNotNull(), under(e["key"], inside)).otherwise(F.array(e["key"])))
+
+    return F.array_distinct(F.flatten(F.transform(entries, one)))
+
+
+def _depth(layouts: tuple[Layout, ...]) -> int:
+    return 1 + max(p.count(".") for layout in layouts for p in layout.paths)
 
-    def write(node: dict) -> str:
-        out = []
-        for name in sorted(node, key=lambda n: n.removesuffix("[]")):
-            inner = "{" + write(node[name]) + "}" if node[name] else ""
-            out.append(f"{name.removesuffix('[]')}: {'[]' if name.endswith('[]') else ''}{inner}")
-        return ", ".join(out)
 
-    return f"OBJECT<{write(tree)}>"
+def fingerprint(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Hash of those of a record's nested field paths that layouts declare; other fields do not matter.
 
+    Null for what is no object, and where a declared text is itself a list or an object, or an item of a declared list
+    is no object: a mapping would lose what is in there.
+    """
+    declared = sorted({p for layout in layouts for p in layout.paths})
+    lists = sorted({p.rsplit(".", 1)[0] for p in declared if "[]." in p})
+    odd = lambda p: F.lit(False) if not lists else p.isin(*lists)
+
+    def deeper(p: Column) -> Column:
+        return F.exists(F.array(*map(F.lit, declared)), lambda d: p.startswith(F.concat(d, F.lit("."))) | p.startswith(F.concat(d, F.lit("["))))
 
-def fingerprint(record: Column) -> Column:
-    """Hash of a record's nested field paths; null for what is no record."""
-    return F.sha2(field_paths(record), 256)
+    def judge(paths: Column) -> Column:
+        here = F.array_sort(F.array_intersect(paths, F.array(*map(F.lit, declared))))
+        return F.when(~F.exists(paths, lambda p: deeper(p) | odd(p)), F.sha2(F.array_join(here, "\n"), 256))
+
+    return let(field_paths(record, _depth(layouts) + 1), judge)
+
+
+def layout_key(layout: Layout) -> str:
+    """The string whose hash is the fingerprint of the layout's records."""
+    return "\n".join(sorted(layout.paths))
 
 
 def _text(v: Column, path: str) -> Column:
@@ -110,17 +122,24 @@ def _role(v: Column, role: str) -> Column:
 
 
 def turns_of(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Canonical turns (role, text) of a record by its fingerprint's mapping; null where no layout fits."""
+    """Canonical turns (role, text) of a record by its fingerprint's mapping; null where no layout fits.
+
+    A record fits the layout whose declared paths are exactly the declared ones that it has, so fields that no layout
+    declares (ids, sources, names of speakers) may stand anywhere.
+    """
     known = F.create_map(*(x for layout in layouts for x in (F.sha2(F.lit(layout_key(layout)), 256), F.lit(layout.name))))
-    out = None
-    name = F.element_at(known, fingerprint(record))
-    for layout in layouts:
-        if layout.turns:
-            value = _items(F.try_variant_get(record, layout.turns, "array<variant>"), layout)
-        else:
-            value = F.array(*(F.struct(_role(record, r).alias("role"), _text(record, t).alias("text")) for r, t in layout.fields))
-        out = F.when(name == layout.name, value) if out is None else out.when(name == layout.name, value)
-    return out
+
+    def mapped(name: Column) -> Column:
+        out = None
+        for layout in layouts:
+            if layout.turns:
+                value = _items(F.try_variant_get(record, layout.turns, "array<variant>"), layout)
+            else:
+                value = F.array(*(F.struct(_role(record, r).alias("role"), _text(record, t).alias("text")) for r, t in layout.fields))
+            out = F.when(name == layout.name, value) if out is None else out.when(name == layout.name, value)
+        return out
+
+    return let(F.element_at(known, fingerprint(record, layouts)), mapped)
 
 
 def _items(items: Column, layout: Layout) -> Column:
@@ -163,7 +182,8 @@ def _spans(turns: Column) -> Column:
 
 def format_records(records: DataFrame, *, id_col: str = "conv_id", record_col: str = "record", order_col: str | None = None,
                    layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``conv_id, formatted, loss_spans, n_turns`` of every conversation, and ``n_unknown``, its records of no known layout.
+    """``conv_id, formatted, loss_spans, n_turns`` of every conversation, and ``n_unknown``, its records of no known layout,
+    which have no turns here: ``unknown_records`` returns them whole.
 
     ``record_col`` is a variant (``parse_json``, ``to_variant_object``). Records of one id form one conversation in the
     order of ``order_col`` (ties and nulls: nulls first, then by role and text); without it every id is one record. Null
@@ -181,18 +201,20 @@ def format_records(records: DataFrame, *, id_col: str = "conv_id", record_col: s
     blocks = blocks.select("conv_id", "block", "n_unknown", F.flatten("rows.turns").alias("turns"))
     written = blocks.select("conv_id", "block", "n_unknown", F.size("turns").cast("long").alias("n"),
                             _write(F.col("turns")).alias("text"), _spans(F.col("turns")).alias("spans"))
-    whole = written.groupBy("conv_id").agg(
+    upto = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.sum(F.length("text").cast("long")).over(upto) - F.length("text")
+    placed = written.withColumn("at", at).withColumn("spans", F.transform("spans", lambda s: F.struct(
+        (s["start"] + F.col("at")).alias("start"), (s["stop"] + F.col("at")).alias("stop"))))
+    whole = placed.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("block", "text", "spans"))).alias("b"),
         F.sum("n").alias("n_turns"), F.sum("n_unknown").alias("n_unknown"))
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"))
+    return whole.select("conv_id", F.array_join("b.text", "").alias("formatted"), F.flatten("b.spans").alias("loss_spans"),
+                        "n_turns", "n_unknown")
 
-    def move(a: Column, b: Column) -> Column:
-        at = a["at"]
-        shifted = F.transform(b["spans"], lambda s: F.struct((s["start"] + at).alias("start"), (s["stop"] + at).alias("stop")))
-        return F.struct((at + F.length(b["text"])).cast("long").alias("at"), F.concat(a["spans"], shifted).alias("spans"))
 
-    return whole.select("conv_id", F.array_join("b.text", "").alias("formatted"),
-                        F.aggregate("b", first, move, lambda a: a["spans"]).alias("loss_spans"), "n_turns", "n_unknown")
+def unknown_records(records: DataFrame, *, record_col: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """The rows whose record has no known layout, whole, with all their columns: what ``format_records`` cannot place."""
+    return records.filter(turns_of(F.col(f"`{record_col}`"), layouts).isNull())
 
 
 def read_back(formatted: Column) -> Column:

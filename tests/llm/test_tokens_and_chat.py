@@ -195,3 +195,30 @@ def test_turn_rows(spark):
     assert [t.text for t in got[3].back] == [f"t{i}" for i in range(200)]
     assert [got[3].formatted[s.start:s.stop] for s in got[3].loss_spans] == [f"t{i}" for i in range(200)]
     assert len(got) == 4 and chat_format.digests(chat_format.format_records(records.limit(0), order_col="turn")).collect() == []
+
+
+def test_fields_that_no_layout_declares_do_not_matter_and_unknown_records_come_back(spark):
+    kept = ['{"prompt": "p", "response": "r", "id": 7, "meta": {"source": ["a", {"b": 1}]}}',
+            '{"messages": [{"role": "user", "content": "p", "name": "n"}, {"role": "assistant", "content": "r", "w": [1]}]}',
+            '{"role": "user", "text": null, "messages_": 1}', '{"system": null, "prompt": "p", "response": "r"}']
+    lost = ['{"prompt": ["p"], "response": "r"}', '{"prompt": "p", "response": {"text": "r"}}',
+            '{"messages": [{"role": "user", "content": [{"type": "text"}]}]}', '{"prompt": "p", "response": "r", "input": "i"}',
+            '{"messages": ["p", {"role": "user", "content": "x"}]}', '{"messages": []}', '{}', '[1]', '3', 'null']
+    d = spark.createDataFrame(list(enumerate(kept + lost)) + [(99, None)], "conv_id long, json string").withColumn(
+        "record", F.parse_json("json"))
+    got = {r.conv_id: [tuple(t) for t in r.back] for r in
+           chat_format.format_records(d).withColumn("back", chat_format.read_back(F.col("formatted"))).collect()}
+    assert got[0] == got[1] == [("user", "p"), ("assistant", "r")]
+    assert got[2] == [("user", "")] and got[3] == [("system", ""), ("user", "p"), ("assistant", "r")]
+    assert all(got[len(kept) + i] == [] for i in range(len(lost)))
+    left = chat_format.unknown_records(d)
+    assert left.columns == d.columns and {r.conv_id for r in left.select("conv_id").collect()} == {*range(4, 4 + len(lost)), 99}
+
+
+def test_top_words_are_cut_on_a_histogram(spark):
+    often, rare = " ".join(f"often{chr(97 + i)}" for i in range(26)), "\n".join(f"a{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26))
+    texts = spark.createDataFrame([(i, often + "\n" + rare if i < 2 else often) for i in range(90)], "doc_id long, text string")
+    full = bpe_replay.encoded_words(texts, "byte_bpe_50k.tiktoken", bpe_replay._pattern())
+    few = bpe_replay.encoded_words(texts, "byte_bpe_50k.tiktoken", bpe_replay._pattern(), 326)
+    assert len(full) > 676 and few.items() < full.items() and 226 < len(few) < 426
+    assert {w for w in full if "often" in w} <= set(few)
