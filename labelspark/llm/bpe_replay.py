@@ -20,6 +20,7 @@ from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from .tokens import SPLIT, is_older, older_split
 
 MAX_WORDS = 1 << 19  # words in the table that every task gets: some 20 MB at most
 MAX_WORD_BYTES = 64  # longer words are replayed where they occur
+SLICE = 4_000_000  # bytes of text whose words a task holds at once
 KEPT = 300_000  # words that a task remembers beyond the table
 
 
@@ -180,6 +182,20 @@ def encoded_words(texts: DataFrame, vocabulary: str, pattern: str, max_words: in
     return {w.decode("utf-8", "surrogatepass"): i for w, i in zip(got.column("word").to_pylist(), got.column("ids").to_pylist())}
 
 
+def slices(batches: Batches) -> Batches:
+    """The rows in batches of at most ``SLICE`` bytes of text, or of one row: the words of a batch are all in memory."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_pylist()
+        at = held = 0
+        for i, n in enumerate(sizes):
+            if i > at and held + n > SLICE:
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if at < len(sizes):
+            yield b.slice(at)
+
+
 class Coder:
     """Encodes texts with the shared table and, for other words, by replay over the words of a batch."""
 
@@ -215,7 +231,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", v
     def run(batches: Batches) -> Batches:
         coder = Coder(vocabulary, pattern, shared.value)
         names: dict[int, str] = {}
-        for b in batches:
+        for b in slices(batches):
             ids = coder.encode_batch(b.column("text").to_pylist())
             if not digests:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
