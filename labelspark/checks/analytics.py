@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from ..plans import analytics as Q
 from ..plans import validation as V
 from ..operators import aggregates as A
@@ -9,6 +11,8 @@ from ..operators.relational import not_in
 from ..plans.integrity import apply_threshold, repair, repair_steps
 from pyspark.sql import functions as F
 
+from ..schemas import RELEASE_SCHEMAS
+
 from .common import query, rounded
 
 EFFECT = "Supplier#000000003-1"
@@ -304,6 +308,62 @@ def _(t):
     return A.row_counts(apply_threshold(repair(t.damaged())).tables())
 
 
+def _rows_sql(tables: dict[str, str]) -> str:
+    """Every row of every table with all its columns, as text under the table's name."""
+    one = lambda c: f"coalesce(CAST({f'CAST(round({c} * 1000000) AS BIGINT)' if c in SCORES else c} AS VARCHAR), '-')"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {' || chr(10) || '.join(map(one, COLUMNS_OF.get(name) or RELEASE_SCHEMAS[name].fieldNames()))} AS content FROM {src}"
+        for name, src in tables.items())
+
+
+def _rows(tables: dict):
+    one = lambda c: F.coalesce((F.round(F.col(c) * 1000000).cast("bigint") if c in SCORES else F.col(c)).cast("string"), F.lit("-"))
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.select(F.lit(n).alias("table_name"), F.concat_ws("\n", *map(one, COLUMNS_OF.get(n) or RELEASE_SCHEMAS[n].fieldNames())).alias("content"))
+        for n, df in tables.items()])
+
+
+SCORES = ("pred0", "pred1")
+AUDITS = {
+    "product_to_rxnorm_deficient": """d_p2r WHERE rxnorm_product_id NOT IN (SELECT rxnorm_id FROM d_product)
+        OR label_id NOT IN (SELECT label_id FROM d_label)""",
+    "product_adverse_effect_deficient": """d_effect WHERE effect_meddra_id NOT IN (SELECT meddra_id FROM d_meddra)
+        OR product_label_id NOT IN (SELECT label_id FROM d_label)""",
+    "product_label_missing_ingredient": "d_label WHERE label_id NOT IN (SELECT label_id FROM r_label)",
+    "orphan_product_to_rxnorm": "r_p2r WHERE label_id NOT IN (SELECT label_id FROM r_label)",
+    "orphan_product_adverse_effect": "r_effect1 WHERE product_label_id NOT IN (SELECT label_id FROM r_label)",
+    "orphan_vocab_rxnorm_product": "d_product WHERE rxnorm_id NOT IN (SELECT rxnorm_id FROM r_product)",
+    "orphan_vocab_meddra_adverse_effect": "d_meddra WHERE meddra_id NOT IN (SELECT meddra_id FROM r_meddra)",
+}
+COLUMNS_OF = {
+    "product_label_missing_ingredient": ["label_id"],
+    **{rule: RELEASE_SCHEMAS[table].fieldNames() for rule, table in {
+        "product_to_rxnorm_deficient": "product_to_rxnorm", "product_adverse_effect_deficient": "product_adverse_effect",
+        "orphan_product_to_rxnorm": "product_to_rxnorm", "orphan_product_adverse_effect": "product_adverse_effect",
+        "orphan_vocab_rxnorm_product": "vocab_rxnorm_product",
+        "orphan_vocab_meddra_adverse_effect": "vocab_meddra_adverse_effect"}.items()},
+}
+CUT_TABLES = {
+    "product_label": "c_label", "product_adverse_effect": "c_effect", "product_to_rxnorm": "c_p2r",
+    "vocab_rxnorm_product": "c_product", "vocab_rxnorm_ingredient": "c_ingredient",
+    "vocab_rxnorm_ingredient_to_product": "c_i2p", "vocab_meddra_adverse_effect": "c_meddra"}
+
+
+@query("b7_repaired_rows", _rows_sql(REPAIRED), **REPAIR)
+def _(t):
+    return _rows(repair(t.damaged()).tables())
+
+
+@query("b8_cut_rows", _rows_sql(CUT_TABLES), **CUT)
+def _(t):
+    return _rows(apply_threshold(repair(t.damaged())).tables())
+
+
+@query("s17_audit_rows", _rows_sql(AUDITS), **REPAIR)
+def _(t):
+    return _rows(repair_steps(t.damaged())[1])
+
+
 @query("b8_kept_labels", "SELECT label_id, source FROM c_label", **CUT)
 def _(t):
     return apply_threshold(repair(t.damaged())).product_label.select("label_id", "source")

@@ -98,6 +98,53 @@ def _(t):
     return R.join_text_with_meta(labels.select("stem", "text"), labels.drop("text"))
 
 
+@query("s01_read_labels", "SELECT name, code, page_url, text FROM uk_labels")
+def _(t):
+    path = scratch_path(t.spark, "uk")
+    t.region_labels("UK").write.parquet(path)
+    return R.read_labels(t.spark, path, "UK")
+
+
+def _label_files(t):
+    """A folder of label files: pretty JSON named ``date_setid.json``, some without date, some cut off in the middle."""
+    doc = F.regexp_extract("set_id", "[0-9]+", 0).cast("bigint")
+    name = F.concat(F.when(doc % 3 == 0, "").otherwise(F.concat((doc + 20200000).cast("string"), F.lit("_"))), F.col("set_id"), F.lit(".json"))
+    whole = F.to_json(F.struct("set_id", "label_id", "spl_version", "title", F.struct(*S.US_SECTIONS).alias("sections")), {"pretty": "true"})
+    path = scratch_path(t.spark, "label_files")
+    W.write_files(t.us_labels().select(name.alias("name"), F.when(doc % 13 == 0, F.left(whole, F.lit(20))).otherwise(whole).alias("value")),
+                  path, "name", "value")
+    return R.read_label_files(t.spark, path)
+
+
+FILE_NAMES = """CASE WHEN doc % 3 = 0 THEN '' ELSE CAST(20200000 + doc AS VARCHAR) END AS file_date, set_id AS file_set_id
+    FROM (SELECT *, CAST(substr(set_id, 4) AS BIGINT) AS doc FROM us_labels)"""
+
+
+@query("s07_label_files", f"""
+    SELECT set_id, label_id, spl_version, title, AR, BW, WP, WA, PR, SP, OV, {FILE_NAMES} WHERE doc % 13 <> 0""")
+def _(t):
+    return _label_files(t)[0]
+
+
+@query("s07_rejected_files", f"""
+    SELECT CASE WHEN file_date = '' THEN '' ELSE file_date || '_' END || file_set_id || '.json' AS file_name, 20 AS n_chars
+    FROM (SELECT {FILE_NAMES} WHERE doc % 13 = 0)""")
+def _(t):
+    return _label_files(t)[1].select("file_name", F.length("content").alias("n_chars"))
+
+
+@query("s09_text_files", f"""
+    SELECT name, code, page_url, regexp_replace(regexp_replace(text, '^{WS}+', ''), '{WS}+$', '') AS text FROM uk_labels
+    WHERE regexp_matches(text, '[^{WS[1:-1]}]')""")
+def _(t):
+    labels = t.region_labels("UK").select("*", F.concat(F.lower("code"), F.lit(".txt")).alias("text_name"), F.concat(
+        F.lower("code"), F.lit(".json")).alias("meta_name"), F.to_json(F.struct("name", "code", "page_url"), {"pretty": "true"}).alias("meta"))
+    path = scratch_path(t.spark, "text_files")
+    W.write_files(labels, f"{path}/text", "text_name", "text")
+    W.write_files(labels, f"{path}/meta", "meta_name", "meta")
+    return R.read_text_with_meta(t.spark, f"{path}/text", f"{path}/meta").select("name", "code", "page_url", "text")
+
+
 @query("s10_read_annotations", """
     SELECT 'drug' || doc_id AS label_id, i - 1 AS event_no, CASE WHEN i % 5 <> 0 THEN pt || '.0' END AS pt_id, llt AS llt_id,
            CASE WHEN i <> 4 THEN CAST(start AS VARCHAR) END AS start, 'human' AS flag2 FROM annotation_events""")

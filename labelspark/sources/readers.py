@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.text import strip
+from ..session import stage
 
 LABEL_SCHEMAS = {"US": S.US_LABEL, "UK": S.UK_LABEL, "EU": S.EU_LABEL, "JP": S.JP_LABEL}
 
@@ -72,6 +73,22 @@ def read_label_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     return rows.select("set_id", "label_id", "spl_version", "title", "sections.*")
 
 
+def read_label_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """US labels of a folder of multi-line JSON files with the fields of their file names, and the files rejected.
+
+    A file that is no JSON object is one rejected row (file_name, content), never a row of NULLs among the labels.
+    Small files are packed into tasks by their bytes; each is parsed once, into a table that both results read. ``path``
+    is a folder: a glob would be expanded to as many listing tasks as files.
+    """
+    layout = T.StructType([*S.US_LABEL_JSON.fields, T.StructField("_broken", T.StringType())])
+    rows = stage(
+        spark.read.schema(layout).option("multiLine", True).option("columnNameOfCorruptRecord", "_broken").json(path)
+        .select("*", F.col("_metadata.file_name").alias("file_name")), "label_files")
+    good = with_path_fields(rows.where("_broken is null"), "file_name").select(
+        "file_date", "file_set_id", "set_id", "label_id", "spl_version", "title", "sections.*")
+    return good, rows.where("_broken is not null").select("file_name", F.col("_broken").alias("content"))
+
+
 def read_label_meta(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Side-car facts of downloaded labels."""
     return spark.read.schema(S.LABEL_META).option("multiLine", multi_line).json(path)
@@ -103,7 +120,7 @@ def read_text_with_meta(
     spark: SparkSession, text_glob: str, meta_glob: str, multi_line: bool = True
 ) -> DataFrame:
     """Whole text files joined with the JSON side-car of the same stem."""
-    texts = spark.read.option("wholetext", True).text(text_glob).select(
+    texts = spark.read.text(text_glob, wholetext=True).select(
         file_stem().alias("stem"), F.col("value").alias("text")
     )
     meta = spark.read.schema(S.LABEL_META).option("multiLine", multi_line).json(meta_glob).select(
