@@ -134,6 +134,15 @@ def _(t):
     return B.build_texts(t.us_labels(), t.region_labels("UK"), t.region_labels("EU"))
 
 
+@query("b2_text_tables", f"""
+    SELECT 'english_labels' AS table_name, text_id, text FROM ({TEXTS})
+    UNION ALL SELECT 'japanese_labels', 'JP' || doc_id || '.AR.JP', text FROM documents WHERE doc_id % 7 <> 0 AND length(text) > 0""")
+def _(t):
+    tables = B.build_text_tables(t.us_labels(), *[t.region_labels(r) for r in ("UK", "EU", "JP")])
+    tagged = [df.select(F.lit(n).alias("table_name"), "text_id", "text") for n, df in tables.items()]
+    return tagged[0].unionByName(tagged[1])
+
+
 def _regions(t):
     return [
         B.us_region(t.scores(), t.us_map(), t.us_meta()),

@@ -151,3 +151,70 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Fake())
     assert session.scratch_dir(spark)
+
+
+def test_a_hot_row_is_numbered_in_several_blocks(spark, monkeypatch):
+    from labelspark.operators import ordered
+
+    staged = []
+    stage = ordered.stage
+    monkeypatch.setattr(ordered, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 40 * ordered.UNFOLD
+        df = spark.createDataFrame([("hot", n), ("zero", 0), ("none", None), ("last", 1)], "k string, n bigint")
+        got = ordered.with_surrogate_id(df, ["k"], "id", copies="n")
+        assert tuple(got.agg(F.count("id"), F.min("id"), F.max("id"), F.countDistinct("id")).first()) == (n + 1, 1, n + 1, n + 1)
+        assert got.where("k = 'last'").first().id == n + 1
+        assert len(staged) == 1 and staged[0].where("k = 'hot'").select("_block").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_repair_reports_null_keys_and_repeated_parents(spark):
+    from labelspark.plans.integrity import repair_steps
+    from labelspark.schemas import RELEASE_SCHEMAS, Release
+
+    values = {
+        "product_label": [(1, "US", "n", "1", None), (1, "US", "n", "1", None), (2, "US", "n", "2", None), (None, "US", "n", "3", None)],
+        "product_to_rxnorm": [(1, "p"), (1, None), (None, "p"), (2, "q"), (9, "p")],
+        "product_adverse_effect": [(1, 1, "AR", 7, "PMB", 0.1, 0.2), (2, 2, "AR", 7, "PMB", 0.1, 0.2), (None, 3, "AR", 7, "PMB", 0.1, 0.2),
+                                   (1, 4, "AR", None, "PMB", 0.1, 0.2), (1, 5, "AR", 8, "PMB", 0.1, 0.2)],
+        "vocab_rxnorm_product": [("p", "n", "t"), ("p", "n", "t"), (None, "n", "t"), ("q", "n", "t")],
+        "vocab_rxnorm_ingredient": [("i", "n", "t")],
+        "vocab_rxnorm_ingredient_to_product": [("p", "i")] if RELEASE_SCHEMAS["vocab_rxnorm_ingredient_to_product"].fieldNames()[0] == "product_id" else [("i", "p")],
+        "vocab_meddra_adverse_effect": [(7, "n", "PT"), (7, "n", "PT"), (None, "n", "PT")],
+    }
+    order = {"product_adverse_effect": ["product_label_id", "effect_id", "label_section", "effect_meddra_id", "match_method", "pred0", "pred1"],
+             "product_label": ["label_id", "source", "source_product_name", "source_product_id", "source_label_url"],
+             "product_to_rxnorm": ["label_id", "rxnorm_product_id"]}
+    tables = {}
+    for name, data in values.items():
+        schema = RELEASE_SCHEMAS[name]
+        names = order.get(name, schema.fieldNames())
+        tables[name] = spark.createDataFrame([tuple(dict(zip(names, r))[c] for c in schema.fieldNames()) for r in data], schema)
+    kept, audits = repair_steps(Release(**tables))
+    assert rows(kept.product_label, "label_id") == [(1,), (1,)]
+    assert rows(kept.product_to_rxnorm.fillna("-"), "label_id", "rxnorm_product_id") == [(1, "-"), (1, "p")]
+    assert rows(kept.product_adverse_effect, "effect_id") == [(1,)]
+    assert sorted(r[0] for r in audits["product_adverse_effect_deficient"].select("effect_id").collect()) == [3, 4, 5]
+    assert rows(audits["orphan_product_adverse_effect"], "effect_id") == [(2,)]
+    assert audits["product_to_rxnorm_deficient"].count() == 3
+    assert sorted(str(r[0]) for r in audits["orphan_product_to_rxnorm"].select("label_id").collect()) == ["2", "None"]
+
+
+def test_label_files_reject_what_is_no_object(spark, tmp_path):
+    from labelspark.sources.readers import read_label_files, read_text_with_meta
+    from labelspark.sources.writers import write_files
+
+    files = [("20240101_a.json", '{\n  "set_id": "a",\n  "sections": {"AR": "x\\ny"}\n}'), ("b.json", '{"set_id": "b"'),
+             ("20240102_c.json", '{"set_id": "c", "new": 1}')]
+    write_files(spark.createDataFrame(files, "name string, value string"), str(tmp_path / "l"), "name", "value")
+    good, bad = read_label_files(spark, str(tmp_path / "l"))
+    assert rows(good, "file_date", "file_set_id", "set_id", "AR") == [("20240101", "a", "a", "x\ny"), ("20240102", "c", "c", None)]
+    assert rows(bad, "file_name", "content") == [("b.json", '{"set_id": "b"')]
+    texts = spark.createDataFrame([("d.txt", " one\n\ntwo "), ("e.txt", " \n"), ("f.txt", None)], "name string, value string")
+    metas = spark.createDataFrame([("d.json", '{"code":\n "D"}'), ("e.json", '{"code": "E"}'), ("f.json", '{"code": "F"}')], "name string, value string")
+    write_files(texts, str(tmp_path / "t"), "name", "value")
+    write_files(metas, str(tmp_path / "m"), "name", "value")
+    assert rows(read_text_with_meta(spark, str(tmp_path / "t"), str(tmp_path / "m")), "code", "text") == [("D", "one\n\ntwo")]
