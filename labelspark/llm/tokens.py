@@ -6,7 +6,6 @@ import os
 import re
 from array import array
 from functools import cache
-from itertools import chain
 
 import regex
 
@@ -15,6 +14,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 # From this character on, the library's tables of letters and digits and ours may be of different Unicode versions.
 NEWER = 0x530
 _NEWER = re.compile(f"[{chr(NEWER)}-\U0010ffff]")
+LONG_BLANK = 10_000  # characters of a run of blanks that only the library splits: the other backs up over the run on a stack
+_LONG_BLANK = re.compile(r"\s{%d}" % LONG_BLANK)
 
 
 def _ranges(kind: str) -> str:
@@ -38,7 +39,7 @@ def older_split() -> re.Pattern:
 
 
 def is_older(text: str) -> bool:
-    return not _NEWER.search(text)
+    return text.isascii() or not _NEWER.search(text)
 
 
 def library(path: str):
@@ -50,8 +51,8 @@ def library(path: str):
     return Tokenizer.from_file(path)
 
 
-def _merger(path: str):
-    """A function from a word to its ids by ``tiktoken``, which merges single words several times as fast.
+def _by_ranks(path: str):
+    """A function from a text to its ids by ``tiktoken``, which reads whole texts several times as fast.
 
     It takes ids for ranks, so it serves vocabularies whose merges come in the order of the ids they make; for others there
     is none.
@@ -70,72 +71,32 @@ def _merger(path: str):
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    A text is split into words as the pre-tokenizer splits it, and each different word is encoded once; BPE
-    never looks over a word's edge. Texts that hold a special string, or characters on whose class two Unicode versions
-    may differ, go to the library whole. ``cache`` bounds the remembered words, in bytes: when the newer half is full, the
-    words that were not asked for since the last time are forgotten.
+    Texts that hold a special string, characters on whose class two Unicode versions may differ, or a run of blanks that
+    is too long for the other library's split go to ``tokenizers``; all others are merged by ranks. Nothing is remembered
+    from text to text.
     """
 
-    def __init__(self, path: str, cache: int = 64 << 20):
+    def __init__(self, path: str):
         self.tokenizer = library(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.findall, self.cache = older_split().findall, cache
-        self.words, self.older, self.used = {}, {}, 0
-        self.merge = _merger(path)
+        self.merge = _by_ranks(path)
 
     def plain(self, text: str) -> bool:
-        return is_older(text) and not any(s in text for s in self.special)
+        return (self.merge is not None and is_older(text) and not any(s in text for s in self.special)
+                and not (len(text) >= LONG_BLANK and _LONG_BLANK.search(text)))
 
-    def forget(self) -> None:
-        self.words, self.older, self.used = {}, {}, 0
-
-    def _learn(self, words: list[str]) -> None:
-        if self.merge is None:
-            for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-                self.words[w] = array("I", e.ids).tobytes()
-            return
-        merge = self.merge
-        for w in words:
-            self.words[w] = array("I", merge(w)).tobytes()
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text; a null text has none."""
+        if not text:
+            return b""
+        ids = self.merge(text) if self.plain(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null text has none. About a million characters are split at a time."""
-        out, lo = [], 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and (size < 1 << 20 or hi == lo):
-                size += len(texts[hi] or "")
-                hi += 1
-            out += self._encode(texts[lo:hi])
-            lo = hi
-        return out
-
-    def _encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.findall(t) if t and self.plain(t) else None for t in texts]
-        if self.used > self.cache // 2:
-            self.words, self.older, self.used = {}, self.words, 0
-        new = set(chain.from_iterable(filter(None, split))) - self.words.keys()
-        self.used += 3 * sum(map(len, new)) + 150 * len(new)
-        again = new & self.older.keys()
-        self.words.update(zip(again, map(self.older.__getitem__, again)))
-        self._learn(list(new - again))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) if words is not None
-                else array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if t else b""
-                for t, words in zip(texts, split)]
-
-
-_encoders: dict[str, Encoder] = {}
+        return [self.encode(t) for t in texts]
 
 
+@cache
 def encoder(path: str) -> Encoder:
     """The encoder of a file, kept for the life of the Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def forget_words() -> None:
-    """Let go of the words that this worker's encoders remember."""
-    for e in _encoders.values():
-        e.forget()
+    return Encoder(path)
