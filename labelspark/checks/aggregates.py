@@ -10,6 +10,7 @@ from ..operators.extract import pad_rows
 from ..operators.ordered import number_rows, with_surrogate_id
 from ..plans import labels as L
 from ..plans.evaluation import pr_curve
+from ..session import stage
 from .common import longs, query, rounded, sql_words
 from .relational import AVAILABLE, FLAG1
 
@@ -253,9 +254,16 @@ def _(t):
     return A.page(t.table("customer").select("c_custkey", "c_name"), ["c_name"], 3, 40)
 
 
-@query("o04_seeded_order", "SELECT o_orderkey FROM orders")
+@query("o04_seeded_order", """
+    SELECT o_orderkey, lead(o_orderkey) OVER w AS follows, row_number() OVER w AS place FROM orders
+    WINDOW w AS (ORDER BY md5('42:' || o_orderkey), o_orderkey)""")
 def _(t):
-    return A.seeded_order(t.table("orders").select("o_orderkey"), "o_orderkey", 42)
+    """The rows as the operator puts them, with their place and the next one's key."""
+    ordered = stage(A.seeded_order(t.table("orders").select("o_orderkey"), "o_orderkey", 42).withColumn(
+        "at", F.monotonically_increasing_id()), "seeded")
+    placed = number_rows(ordered, ["at"], "place")
+    after = placed.select(F.col("o_orderkey").alias("follows"), (F.col("place") - 1).alias("before"))
+    return placed.join(after, placed["place"] == after["before"], "left").select("o_orderkey", "follows", "place")
 
 
 @query("o05_search_vocab", """
@@ -280,6 +288,10 @@ def _(t):
         "set_id", "title", F.array_join("sections_available", ",").alias("sections_available"), "total", "pages")
 
 
-@query("q19_list_labels_seeded")
+@query("q19_list_labels_seeded", """
+    SELECT set_id, title, array_to_string([x for x in avail if x in ('AR', 'BW', 'WP')], ',') AS sections_available,
+           count(*) OVER () AS total, CAST(ceil(count(*) OVER () / 50) AS BIGINT) AS pages
+    FROM available WHERE list_has_any(avail, ['AR', 'BW', 'WP']) ORDER BY md5('42:' || set_id), set_id LIMIT 50""", available=AVAILABLE)
 def _(t):
-    return L.list_labels(t.us_labels(), ["AR", "BW", "WP"], "", 1, 50)
+    return L.list_labels(t.us_labels(), ["AR", "BW", "WP"], "", 1, 50).select(
+        "set_id", "title", F.array_join("sections_available", ",").alias("sections_available"), "total", "pages")

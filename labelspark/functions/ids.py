@@ -12,6 +12,11 @@ def to_int(c: Column | str) -> Column:
     return _col(c).try_cast("bigint")
 
 
+def shuffle_key(c: Column | str, seed: int) -> Column:
+    """A seeded order every engine can compute."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), _col(c).cast("string")))
+
+
 def to_double(c: Column | str) -> Column:
     return _col(c).try_cast("double")
 

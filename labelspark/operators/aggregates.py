@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import n_chars, n_words, ratio, valid_id
+from ..functions import n_chars, n_words, ratio, shuffle_key, valid_id
 from ..schemas import SOURCES
 from .joins import null_safe_join
 
@@ -275,8 +275,8 @@ def page(df: DataFrame, order: list, number: int, size: int) -> DataFrame:
 
 
 def seeded_order(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """A stable shuffled order."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    """A stable shuffled order, NULL keys first."""
+    return df.orderBy(shuffle_key(key, seed), key)
 
 
 def effects_in_all(rel: DataFrame, sources: list[str]) -> DataFrame:

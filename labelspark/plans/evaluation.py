@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ratio
+from ..functions import ratio, shuffle_key
 from ..operators.joins import null_safe_join
 from ..operators.ordered import number_rows, running
 
 PARTS = ["train", "val", "test"]
 
 
-def shuffle_key(key: Column | str, seed: int) -> Column:
-    """A seeded order every engine can compute."""
-    col = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), col.cast("string")))
-
-
 def _cut(keys: DataFrame, order: list[str], bounds: list[float], names: list[str]) -> DataFrame:
     """Part of each key by its place in the order."""
     total = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -43,6 +37,13 @@ def split_by_key(
     return df.join(parts, key)
 
 
+def split_folds(df: DataFrame, key: str, folds: int, seed: int = 222) -> DataFrame:
+    """Rows with ``fold``, 0 to ``folds`` - 1; the rows of a key lie in one fold. A NULL key fails the job."""
+    keys = df.select(_present(key)).distinct().withColumn("_h", shuffle_key(key, seed))
+    parts = _cut(keys, ["_h", key], [(i + 1) / folds for i in range(folds - 1)], list(range(folds)))
+    return df.join(parts.select(key, F.col("split").alias("fold")), key)
+
+
 def split_tac(df: DataFrame, key: str = "drug") -> DataFrame:
     """Given train keys cut 90/10 in sorted order, given test keys as test."""
     if "tac" not in df.columns:
@@ -130,6 +131,16 @@ def best_threshold(
     )
 
 
+def best_thresholds(df: DataFrame, label: str, score: str, by: str) -> DataFrame:
+    """``best_threshold`` of each group, all groups from one curve table."""
+    curve = pr_curve(df, label, score, [by])
+    picked = F.struct("f1", "threshold", "precision", "recall")
+    best = curve.groupBy(by).agg(F.max_by(picked, F.struct("f1", -F.col("threshold"))).alias("_b"))
+    return null_safe_join(best, pr_auc(curve, [by]), [by]).select(
+        by, F.col("_b.threshold").alias("max_f1_threshold"), F.col("_b.f1").alias("max_f1"),
+        F.col("_b.precision").alias("max_f1_precision"), F.col("_b.recall").alias("max_f1_recall"), "pr_auc")
+
+
 def metrics_by(df: DataFrame, key: str, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
     """F1, precision, recall, AUROC and row count per key (NULL is one), over scored rows."""
     df = df.where(F.col(score).isNotNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import drug_name, squeeze, strip
+from ..functions import drug_name, shuffle_key, squeeze, strip
 from ..operators.aggregates import page
 from ..operators.match import match_preferred, resolve_overlaps
 from ..operators.relational import min_length
@@ -51,7 +51,7 @@ def list_labels(
 ) -> DataFrame:
     """One page of labels with totals: by title when searching, else in a seeded order."""
     rows = search_labels(having_sections(label_index(labels), required), query, pool)
-    order = [F.lower("title"), "set_id"] if query else [F.xxhash64("set_id", F.lit(seed)), "set_id"]
+    order = [F.lower("title"), "set_id"] if query else [shuffle_key("set_id", seed), "set_id"]
     return page(rows, order, number, size)
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicted_class, relu
-from .evaluation import best_threshold
+from ..session import stage
+from .evaluation import best_thresholds, split_folds
 
 Scorer = Callable[[list[str]], list[tuple[float, float]]]
 
@@ -34,16 +36,28 @@ def score(
     return scored.select(*matches.columns, "_s.*")
 
 
-def classifier(n_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 20):
-    """Tokens -> hashed counts -> inverse document frequency -> logistic regression."""
+N_FEATURES, REG, MAX_ITER = 1 << 18, 0.01, 20
+
+
+def features(n_features: int = N_FEATURES):
+    """Tokens -> hashed counts -> inverse document frequency."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
     return Pipeline(stages=[
         RegexTokenizer(inputCol="string", outputCol="_tokens", pattern=r"\s+"),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features),
         IDF(inputCol="_tf", outputCol="_features"),
+    ])
+
+
+def classifier(n_features: int = N_FEATURES, reg: float = REG, max_iter: int = MAX_ITER):
+    """``features`` -> logistic regression."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    return Pipeline(stages=[
+        *features(n_features).getStages(),
         LogisticRegression(featuresCol="_features", labelCol="label", regParam=reg, maxIter=max_iter),
     ])
 
@@ -73,20 +87,38 @@ def with_prediction(scored: DataFrame) -> DataFrame:
     return scored.withColumn("prediction", predicted_class("pred0", "pred1"))
 
 
+def cross_scored(refset: DataFrame, key: str = "drug", folds: int = 3, **params) -> DataFrame:
+    """Rows with ``fold``, pred0 and pred1: each row is scored by a model that saw no row of its key.
+
+    Keys are dealt to folds of equal numbers of keys. At least two keys are needed; a NULL key fails the job.
+    """
+    dealt = stage(split_folds(refset, key, folds), "folds")
+    parts = []
+    for fold in [r[0] for r in dealt.select("fold").distinct().orderBy("fold").collect()]:
+        model = fit_classifier(dealt.where(F.col("fold") != fold), **params)
+        parts.append(score_with_model(dealt.where(F.col("fold") == fold), model, text="string"))
+    return reduce(DataFrame.unionByName, parts, dealt.limit(0).selectExpr("*", "0D AS pred0", "0D AS pred1"))
+
+
 def run_grid(refset: DataFrame, grid: list[dict]) -> DataFrame:
     """One row of validation metrics per parameter set, best first.
 
-    ``refset`` carries ``split``; all runs are fitted and compared on the same parts.
+    ``refset`` carries ``split``; all runs are fitted and compared on the same parts. Features are computed and written
+    once for each number of features, and the metrics of all runs come from one curve table.
     """
-    train = refset.where("split = 'train'")
-    val = with_label(refset.where("split = 'val'"))
-    runs = None
-    for no, params in enumerate(grid):
-        model = fit_classifier(train, **params)
-        scored = score_with_model(val, model, text="string")
-        row = best_threshold(scored, "label", "pred1").select(
-            F.lit(no).alias("run"),
-            F.lit(", ".join(f"{k}={v}" for k, v in sorted(params.items()))).alias("params"), "*",
-        )
-        runs = row if runs is None else runs.unionByName(row)
-    return runs.orderBy(F.desc("max_f1"), "run")
+    from pyspark.ml.classification import LogisticRegression
+
+    data = with_label(refset.where("split in ('train', 'val')")).select("split", "string", "label")
+    lr = LogisticRegression(featuresCol="_features", labelCol="label")
+    sizes = [p.get("n_features", N_FEATURES) for p in grid]
+    scored = []
+    for n in sorted(set(sizes)):
+        ready = stage(features(n).fit(data.where("split = 'train'")).transform(data).select("split", "label", "_features"), "features")
+        runs = [i for i, size in enumerate(sizes) if size == n]
+        maps = [{lr.regParam: grid[i].get("reg", REG), lr.maxIter: grid[i].get("max_iter", MAX_ITER)} for i in runs]
+        for i, model in zip(runs, lr.fit(ready.where("split = 'train'"), maps)):
+            val = score_with_model(ready.where("split = 'val'"), model, text="string")
+            scored.append(val.select(F.lit(i).alias("run"), "label", "pred1"))
+    names = F.create_map(*(F.lit(x) for i, p in enumerate(grid) for x in (i, ", ".join(f"{k}={v}" for k, v in sorted(p.items())))))
+    best = best_thresholds(stage(reduce(DataFrame.unionByName, scored), "runs"), "label", "pred1", "run")
+    return best.select("run", names[F.col("run")].alias("params"), *best.columns[1:]).orderBy(F.desc("max_f1"), "run")
