@@ -218,3 +218,19 @@ def test_label_files_reject_what_is_no_object(spark, tmp_path):
     write_files(texts, str(tmp_path / "t"), "name", "value")
     write_files(metas, str(tmp_path / "m"), "name", "value")
     assert rows(read_text_with_meta(spark, str(tmp_path / "t"), str(tmp_path / "m")), "code", "text") == [("D", "one\n\ntwo")]
+
+
+def test_interval_table_rounds_halves_as_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    import __spark_entry__ as entry
+
+    orders = [(k, 1, 100.5 + k / 2) for k in range(8)]
+    lines = [(20 * k, 1, 101.5 + k, 1.0, "ANR"[k % 3]) for k in range(4)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_returnflag string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(entry.oracle_sql()["j25_interval_table"]).fetchall()
+    assert rows(entry.queries()["j25_interval_table"](spark, str(tmp_path)), "o_orderkey", "kind") == sorted(want)
