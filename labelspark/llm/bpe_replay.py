@@ -204,14 +204,26 @@ class Coder:
         self.findall, self.table, self.own = splitter(pattern), table, {}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = [self.findall(t) for t in texts]
         if len(self.own) > KEPT:
             self.own.clear()
-        missing = list(set(chain.from_iterable(split)) - self.table.keys() - self.own.keys())
+        table, own, out, held = self.table, self.own, [], []
+        for text in texts:
+            words = self.findall(text)
+            known = list(map(table.get, words))
+            if None not in known:
+                out.append(b"".join(known))
+                continue
+            # only words beyond the table are kept until the batch is replayed
+            held.append((len(out), known, {i: words[i] for i, ids in enumerate(known) if ids is None}))
+            out.append(b"")
+        missing = [w for w in set(chain.from_iterable(beyond.values() for _, _, beyond in held)) if w not in own]
         for w, ids in zip(missing, replay([w.encode("utf-8", "surrogatepass") for w in missing], self.ranks)):
-            self.own[w] = array("I", ids).tobytes()
-        table, own = self.table, self.own
-        return [b"".join([table.get(w) or own[w] for w in words]) for words in split]
+            own[w] = array("I", ids).tobytes()
+        for at, known, beyond in held:
+            for i, w in beyond.items():
+                known[i] = own[w]
+            out[at] = b"".join(known)
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.text.__getitem__, array("I", ids)))
@@ -230,7 +242,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", v
 
     def run(batches: Batches) -> Batches:
         coder = Coder(vocabulary, pattern, shared.value)
-        names: dict[int, str] = {}
+        names = {x: str(x) for x in coder.text} if digests else {}
         for b in slices(batches):
             ids = coder.encode_batch(b.column("text").to_pylist())
             if not digests:
@@ -239,8 +251,6 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", v
             n, codes, plain = [], [], []
             for raw in ids:
                 a = array("I", raw)
-                for x in set(a) - names.keys():
-                    names[x] = str(x)
                 n.append(len(a))
                 codes.append(hashlib.sha256(" ".join(map(names.__getitem__, a)).encode()).hexdigest())
                 plain.append(hashlib.sha256(coder.decode(raw)).hexdigest())

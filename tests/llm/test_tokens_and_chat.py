@@ -222,3 +222,23 @@ def test_top_words_are_cut_on_a_histogram(spark):
     few = bpe_replay.encoded_words(texts, "byte_bpe_50k.tiktoken", bpe_replay._pattern(), 326)
     assert len(full) > 676 and few.items() < full.items() and 226 < len(few) < 426
     assert {w for w in full if "often" in w} <= set(few)
+
+
+def test_replay_looks_words_up_without_walking_the_table():
+    """The table holds half a million words; a batch costs what its own words cost."""
+    import public_tokenizers
+
+    from labelspark.llm.bpe_replay import Coder
+
+    class Table(dict):
+        def keys(self):
+            raise AssertionError("walked")
+
+        __iter__ = items = values = keys
+
+    plain = Coder("byte_bpe_50k.tiktoken", public_tokenizers.PATTERN, {})
+    texts = ["the cat and the zyxqv cat", "", "the cat", "日本語 zyxqv zyxqv"]
+    want = plain.encode_batch(texts)
+    assert [plain.decode(x).decode() for x in want] == texts
+    shared = Coder("byte_bpe_50k.tiktoken", public_tokenizers.PATTERN, Table({" cat": plain.encode_batch([" cat"])[0], "the": plain.encode_batch(["the"])[0]}))
+    assert shared.encode_batch(texts) == want
