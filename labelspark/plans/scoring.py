@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import predicted_class, relu
 from ..session import stage
@@ -23,17 +24,21 @@ def score(
 
     Scores are added to the row they belong to, in the partitions the matches already have.
     """
-    @F.pandas_udf("pred0 double, pred1 double")
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    at = matches.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
-        for texts in batches:
-            values = texts.tolist()
+        for b in batches:
+            values = b.column(at).to_pylist()
             out = [p for i in range(0, len(values), batch) for p in scorer(values[i:i + batch])]
-            yield pd.DataFrame(out, columns=["pred0", "pred1"])
-
-    # not deterministic: a later score cut-off must not run the model again
-    scored = matches.withColumn("_s", apply.asNondeterministic()(F.col(text)))
-    return scored.select(*matches.columns, "_s.*")
+            pred0, pred1 = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred0, pa.float64()), pa.array(pred1, pa.float64())],
+                                             names=[*b.schema.names, "pred0", "pred1"])
+
+    # a map over whole rows and no expression: one is moved below the columns made for it, and then every hit waits on
+    # disk with all words of its text. Nor does a later score cut-off run the model again
+    schema = StructType([*matches.schema.fields, StructField("pred0", DoubleType()), StructField("pred1", DoubleType())])
+    return matches.mapInArrow(run, schema)
 
 
 N_FEATURES, REG, MAX_ITER = 1 << 18, 0.01, 20

@@ -61,3 +61,17 @@ def test_seeded_order(spark):
     got = [r.k for r in seeded_order(spark.createDataFrame([(k,) for k in keys], "k int"), "k", 9).collect()]
     assert got == [None] + sorted((k for k in keys if k is not None), key=lambda k: (hashlib.md5(f"9:{k}".encode()).hexdigest(), k))
     assert spark.range(1).select(shuffle_key("id", 1)).first()[0] == hashlib.md5(b"1:0").hexdigest()
+
+
+def test_scoring_matches_holds_no_words_of_their_texts(spark):
+    """A scorer that runs as an expression is moved below the contexts: each hit then waits with its text's word array."""
+    from labelspark.operators.match import match_contexts
+    from labelspark.plans.scoring import score
+
+    texts = spark.createDataFrame([("t", "a foo b foo c"), ("u", None), ("v", "")], "text_id string, text string")
+    vocab = spark.createDataFrame([("1", "foo")], "text_id string, text string")
+    scored = score(match_contexts(texts, vocab, 4, 0.5), lambda: lambda xs: [(float(len(x)), 1.0) for x in xs], batch=1)
+    assert [(r.start, r.context, r.pred0, r.pred1) for r in scored.orderBy("start").collect()] == [
+        (2, "foo a EVENT b", 13.0, 1.0), (8, "foo b EVENT c", 13.0, 1.0)]
+    plan = scored.select("text_id", "start", "pred0")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # the scan
