@@ -234,3 +234,12 @@ def test_interval_table_rounds_halves_as_its_sql(spark, tmp_path):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     want = con.execute(entry.oracle_sql()["j25_interval_table"]).fetchall()
     assert rows(entry.queries()["j25_interval_table"](spark, str(tmp_path)), "o_orderkey", "kind") == sorted(want)
+
+
+def test_a_term_that_overlaps_itself_is_found_at_every_place(spark):
+    from labelspark.operators.match import match_terms
+
+    texts = spark.createDataFrame([("t", "hathath aHATHATHATH")], "text_id string, text string")
+    vocab = spark.createDataFrame([("1", "hath")], "text_id string, text string")
+    assert rows(match_terms(texts, vocab), "start") == [(0,), (3,)]
+    assert rows(match_terms(texts, vocab, case=False), "start") == [(0,), (3,), (9,), (12,), (15,)]
