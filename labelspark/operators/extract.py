@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -178,11 +179,20 @@ def _section_between(html: str, start_id: str, marker: str) -> str:
     return ""
 
 
+PAGES = 64  # pages and texts that are Python strings at a time; a batch stays in Arrow
+
+
+def _parsed(pages: pa.Array, parse: Callable[[str], str]) -> pa.Array:
+    parts = [pa.array([parse(h) if h else "" for h in pages.slice(i, PAGES).to_pylist()], pa.string())
+             for i in range(0, len(pages), PAGES)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
 def _per_document(docs: DataFrame, column: str, out: str, parse: Callable[[str], str]) -> DataFrame:
     """One text column computed per document; the other columns stay in the JVM."""
-    @F.pandas_udf("string")
-    def apply(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: parse(h) if h else "")
+    @F.arrow_udf("string")
+    def apply(pages: pa.Array) -> pa.Array:
+        return _parsed(pages, parse)
 
     # not deterministic: a later filter on the text must not parse the page again
     return docs.withColumn(out, apply.asNondeterministic()(F.col(column))).drop(column)

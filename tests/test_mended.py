@@ -243,3 +243,20 @@ def test_a_term_that_overlaps_itself_is_found_at_every_place(spark):
     vocab = spark.createDataFrame([("1", "hath")], "text_id string, text string")
     assert rows(match_terms(texts, vocab), "start") == [(0,), (3,)]
     assert rows(match_terms(texts, vocab, case=False), "start") == [(0,), (3,), (9,), (12,), (15,)]
+
+
+def test_few_pages_of_a_batch_are_python_strings_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from labelspark.operators import extract as X
+
+    pages = pa.array([None, ""] + [chr(97 + i % 26) * 20_000 for i in range(1998)], pa.string())
+    tracemalloc.start()
+    got = X._parsed(pages, lambda h: h[1:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000  # 80 MB with all pages and texts of the batch
+    assert got.slice(0, 3).to_pylist() == ["", "", "a" * 19_999] and len(got) == 2000
+    assert X._parsed(pages.slice(0, 0), str).to_pylist() == []
