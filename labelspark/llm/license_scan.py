@@ -12,12 +12,13 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 from .common import Batches, map_arrow, narrow
-from .jaccard_join import _FACTORS, _hashes, _inside, id_filter
+from .jaccard_join import _FACTORS, _inside, id_filter
 
 GRAM = 3
 DRIFT = 4  # diagonals this far apart belong to one span
@@ -64,7 +65,7 @@ def gram_hashes(words: list[bytes]) -> np.ndarray:
     """Hash of the ``GRAM`` words from each place on."""
     if len(words) < GRAM:
         return np.empty(0, np.int64)
-    w = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = len(w) - GRAM + 1
     h = w[:n] * _FACTORS[0]
     for k in range(1, GRAM):

@@ -5,9 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from labelspark.llm import ann_search
+from labelspark.llm import ann_search, jaccard_join
 from labelspark.llm.components import components
-from labelspark.llm.jaccard_join import divide_skip, jaccard_classes, required, shingle_set
+from labelspark.llm.jaccard_join import divide_skip, jaccard_classes, required, search_block, shingle_set
 
 
 def classes_of(texts):
@@ -79,6 +79,58 @@ def test_divide_skip_is_complete():
     assert divide_skip(one, [one, shingle_set("b a")]) == [0]
 
 
+def test_a_block_finds_the_links_between_classes():
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**62, 60).astype(np.uint64))
+    rows = []
+    for i in range(150):
+        kept = base[rng.random(len(base)) < rng.uniform(0.75, 1)]
+        rows.append((i, i % 40, np.unique(np.concatenate([kept, rng.integers(0, 2**62, rng.integers(0, 15)).astype(np.uint64)]))))
+    linked = [(a, b) for a, _, s in rows for b, _, t in rows
+              if a != b and len(np.intersect1d(s, t)) >= required(len(s), len(t))]
+
+    def joined(links):
+        head = {c: c for c in range(40)}
+
+        def find(c):
+            return c if head[c] == c else find(head[c])
+
+        for a, b in links:
+            head[find(a % 40)] = find(b % 40)
+        return {frozenset(c for c in head if find(c) == r) for r in map(find, head)}
+
+    got = search_block(rows, rows, False)
+    assert set(got) <= set(linked) and joined(got) == joined(linked) and 1 < len(joined(got)) < 40
+    assert len(got) < 40, "no pair of classes is linked twice"
+    asked = search_block(rows[:1], rows[1:], True)
+    assert sorted(asked) == sorted((a, b) for a, b in linked if a == 0)
+
+
+def test_a_crowded_list_pairs_blocks_and_not_members(spark, monkeypatch):
+    """Copies of one template that hardly link with each other: a row for each pair of them would be 88,000 rows."""
+    rng = random.Random(6)
+    words = [f"t{i}" for i in range(150)]
+    texts = []
+    for i in range(600):
+        copy = words[:]
+        for at in rng.sample(range(5, 145), 6 if i % 2 else 3):
+            copy[at] = f"x{rng.randint(0, 10**7)}"
+        texts.append((i, " ".join(copy)))
+    counts = []
+    kept = jaccard_join.stage
+
+    def counted(df, name="stage"):
+        out = kept(df, name)
+        counts.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_classes(df).collect()}
+    assert got == classes_of(texts)
+    assert max(n for n, name in counts if name in ("pairs", "blocks")) < 12_000, counts
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
