@@ -131,6 +131,33 @@ def test_a_crowded_list_pairs_blocks_and_not_members(spark, monkeypatch):
     assert max(n for n, name in counts if name in ("pairs", "blocks")) < 12_000, counts
 
 
+def test_sketches_rule_out_no_link_and_keep_sets_from_travelling(spark):
+    from labelspark.llm.jaccard_join import possible, sketch
+
+    rng = np.random.default_rng(8)
+    pick = lambda n: rng.integers(0, 2**62, n).astype(np.uint64) << np.uint64(2)
+    rows = []
+    for i, n in enumerate([0, 1, 2, 9, 230, 256, 257, 290, 512, 600] * 20):
+        base = np.random.default_rng(n).integers(0, 2**62, n).astype(np.uint64) << np.uint64(2)
+        rows.append((i, i % 7, np.unique(np.concatenate([base[rng.random(n) < 1 - (i % 11) / 30], pick(int(n * (i % 5) / 40))]))))
+    small = [(a, c, sketch(s)) for a, c, s in rows]
+    for paired in (True, False):
+        for q, (a, c, s) in enumerate(rows):
+            others = [m for m in rows if m[0] != a]
+            found = {b for _, b in search_block([(a, c, s)], others, paired)}
+            asks, asked = possible([small[q]], [small[m[0]] for m in others], paired)
+            kept = {m[0] for m, k in zip(others, asked) if k}
+            assert found <= kept and asks[0] == bool(kept)
+    far = [(i, i, sketch(np.unique(pick(400 + i)))) for i in range(60)]
+    assert not possible(far[:30], far[30:], True)[1].any()
+
+    texts = [(i, " ".join(f"w{i // 2 * 100 + k}" for k in range(60 + i % 2))) for i in range(40)]  # each is like one other
+    block = [(1, 0, 2, 0, i, i, i < 39 and i % 4 < 3) for i in range(40)]
+    rows_of = spark.createDataFrame(block, "home_a long, part_a int, home_b long, part_b int, doc_id long, class long, asks boolean")
+    left = jaccard_join._narrowed(rows_of, spark.createDataFrame(texts, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.asks) for r in left.collect()) == sorted((i, i % 4 == 2) for i in range(40) if i % 4 > 1 and i != 39 and i != 38) + [(38, True), (39, False)]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
