@@ -260,3 +260,22 @@ def test_few_pages_of_a_batch_are_python_strings_at_once():
     assert peak < 8_000_000  # 80 MB with all pages and texts of the batch
     assert got.slice(0, 3).to_pylist() == ["", "", "a" * 19_999] and len(got) == 2000
     assert X._parsed(pages.slice(0, 0), str).to_pylist() == []
+
+
+def test_label_and_mapping_queries_do_not_number_effects(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from labelspark.plans import build as B
+
+    numbered, keep = [], B.with_surrogate_id
+
+    def counted(df, keys, name, *args, **how):
+        numbered.append(name)
+        return keep(df, keys, name, *args, **how)
+
+    monkeypatch.setattr(B, "with_surrogate_id", counted)
+    data = "/root/testdata/sf0.001"
+    for query in ("b3_assemble_labels", "b3_assemble_map", "b5_ingredient_map"):
+        assert not entry.queries()[query](spark, data).isEmpty()
+    assert numbered == ["label_id"] * 3
+    assert not entry.queries()["b3_assemble_effects"](spark, data).isEmpty()
+    assert numbered[3:] == ["label_id", "effect_id"]
