@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import squeeze
 from ..functions.text import SPACE
+from ..session import stage
 from .joins import null_safe_join
 from ..schemas import US_LABEL, US_SECTIONS
 
@@ -267,7 +268,8 @@ def html_tables(pages: DataFrame, key: str) -> DataFrame:
             ]
             yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "cells"])
 
-    return pad_rows(pages.select(key, "html").mapInPandas(parse, schema), [key, "table_no"])
+    # written once: both sides of the padding read it, and each would parse all pages
+    return pad_rows(stage(pages.select(key, "html").mapInPandas(parse, schema), "cells"), [key, "table_no"])
 
 
 def pad_rows(cells: DataFrame, keys: list[str]) -> DataFrame:

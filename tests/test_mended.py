@@ -279,3 +279,12 @@ def test_label_and_mapping_queries_do_not_number_effects(spark, monkeypatch):
     assert numbered == ["label_id"] * 3
     assert not entry.queries()["b3_assemble_effects"](spark, data).isEmpty()
     assert numbered[3:] == ["label_id", "effect_id"]
+
+
+def test_tables_of_pages_are_parsed_once(spark):
+    from labelspark.operators import extract as X
+
+    pages = spark.createDataFrame([("p", "<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>")], "k string, html string")
+    got = X.html_tables(pages, "k")
+    assert "MapInPandas" not in got._jdf.queryExecution().toString()  # it was there twice
+    assert [tuple(r.cells) for r in got.orderBy("row_no").collect()] == [("a", "b"), ("c", "")]
