@@ -288,3 +288,35 @@ def test_tables_of_pages_are_parsed_once(spark):
     got = X.html_tables(pages, "k")
     assert "MapInPandas" not in got._jdf.queryExecution().toString()  # it was there twice
     assert [tuple(r.cells) for r in got.orderBy("row_no").collect()] == [("a", "b"), ("c", "")]
+
+
+def test_folded_keys_are_the_unfolded_ones(spark):
+    from labelspark.operators.ordered import FOLDED, UNFOLD, n_folded, unfold, with_surrogate_id
+
+    df = spark.createDataFrame([("b", 1), ("a", UNFOLD + 3), ("c", 0), (None, 2), ("d", 4)], "k string, n bigint")
+    folded = with_surrogate_id(df, ["k"], "id", copies="n", folded=True)
+    assert sorted(rows(folded, "id", "k", FOLDED)) == [
+        (1, None, 2), (3, "a", UNFOLD), (UNFOLD + 3, "a", 3), (UNFOLD + 6, "b", 1), (UNFOLD + 7, "d", 4)]
+    assert sorted(rows(unfold(folded, "id"), "id", "k")) == sorted(rows(with_surrogate_id(df, ["k"], "id", copies="n"), "id", "k"))
+    assert folded.agg(n_folded(folded)).first()[0] == UNFOLD + 10
+    assert unfold(df, "id") is df and df.agg(n_folded(df)).first()[0] == 5
+
+
+def test_release_keeps_effects_folded_until_export(spark, tmp_path):
+    from labelspark.checks.build import _regions
+    from labelspark.operators.ordered import FOLDED, n_folded
+    from labelspark.plans import build as B
+    from labelspark.plans import validation as V
+    from labelspark.testbed import PATHS, Testbed
+
+    t = Testbed(spark, "/root/testdata/sf0.001")
+    inputs = dict(regions=_regions(t), atoms=t.atoms(), nodes=t.nodes(), edges=t.edges(), paths=PATHS)
+    built = B.build_release(**inputs)
+    effects = built.product_adverse_effect
+    n = effects.agg(n_folded(effects)).first()[0]
+    assert effects.count() < n / 3  # every row was written once per copy in each step
+    B.release(str(tmp_path), **inputs)
+    kept = spark.read.option("header", True).csv(f"{tmp_path}/csv/product_adverse_effect")
+    assert FOLDED not in kept.columns and (kept.count(), kept.select("effect_id").distinct().count()) == (n, n)
+    bare = built.with_tables(product_label=built.product_label.limit(0))
+    assert f"({n} " in V.check_2b(bare).first().result  # counts rows, not folded ones
