@@ -2,24 +2,24 @@
 
 Many-to-many joins multiply rows, so each query first reduces both sides of a join to the
 distinct pairs it needs: (label, ingredient) and (label, effect). A label or an effect that
-holds a large share of all rows is then collapsed before anything is shuffled.
+holds a large share of all rows is then collapsed before anything is shuffled. Where pairs of
+ingredient and effect are counted, ingredients are numbered and 64 of them are one word of bits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
-from ..operators.aggregates import (
-    combination_counts as _combination_counts,
-    count_stats,
-    having_distinct,
-    source_flags,
-    top_k,
-)
+from ..operators.aggregates import count_stats, source_combinations, top_k
+from ..operators.joins import null_safe_join
+from ..operators.ordered import number_rows
 from ..operators.relational import semi
-from ..schemas import Release
+from ..schemas import SOURCES, Release
+from ..session import stage
 
 
 def label_ingredients(rel: Release, known_product: bool = False) -> DataFrame:
@@ -52,20 +52,38 @@ def _effect_rows(rel: Release, effect: str) -> DataFrame:
     return rel.product_adverse_effect.join(ids, "effect_meddra_id", "left_semi")
 
 
-def ingredient_effects(rel: Release) -> DataFrame:
-    """Distinct (ingredient_id, effect_meddra_id) of labels that exist."""
-    labels = rel.product_label.select("label_id")
-    return (
-        label_effects(rel)
-        .join(label_ingredients(rel).join(labels, "label_id", "left_semi"), "label_id")
-        .select("ingredient_id", "effect_meddra_id").distinct()
-    )
+def _numbered(ids: DataFrame, key: str) -> DataFrame:
+    """(key, _word, _place, _bit): distinct keys (NULL is one) numbered densely, 64 to a word of bits."""
+    placed = number_rows(ids.select(key).distinct(), [key], "_no", start=0)
+    return placed.select(key, F.shiftright("_no", 6).alias("_word"), F.expr("cast(_no % 64 as int)").alias("_place"),
+                         F.expr("shiftleft(1L, cast(_no % 64 as int))").alias("_bit"))
+
+
+def _label_bits(rel: Release, members: DataFrame, known_product: bool = False) -> DataFrame:
+    """(label_id, _word, _bits): the ``members`` (ingredient_id, _word, _bit) of each label, 64 to a row."""
+    links = null_safe_join(rel.vocab_rxnorm_ingredient_to_product, members.select("ingredient_id", "_word", "_bit"), ["ingredient_id"])
+    products = links.groupBy("product_id", "_word").agg(F.bit_or("_bit").alias("_bits"))
+    mapped = rel.product_to_rxnorm.select("label_id", F.col("rxnorm_product_id").alias("product_id"))
+    if known_product:
+        mapped = semi(mapped, rel.vocab_rxnorm_product, "product_id", "rxnorm_id")
+    return mapped.join(products, "product_id").groupBy("label_id", "_word").agg(F.bit_or("_bits").alias("_bits"))
+
+
+def _effect_bits(rel: Release, members: DataFrame) -> DataFrame:
+    """(effect_meddra_id, _word, _bits): the ``members`` met with each effect on labels that exist.
+
+    Pairs of ingredient and effect are bits here: a pair is never a row that is shuffled.
+    """
+    bits = _label_bits(rel, members).join(rel.product_label.select("label_id"), "label_id", "left_semi")
+    return label_effects(rel).join(bits, "label_id").groupBy("effect_meddra_id", "_word").agg(F.bit_or("_bits").alias("_bits"))
 
 
 def ingredients_for_effect(rel: Release, effect: str) -> DataFrame:
     labels = _effect_rows(rel, effect).select(F.col("product_label_id").alias("label_id")).distinct()
     known = labels.join(rel.product_label.select("label_id"), "label_id", "left_semi")
-    ids = label_ingredients(rel).join(known, "label_id", "left_semi").select("ingredient_id").distinct()
+    # the effect's labels first, then their products, then ingredients: nothing is listed for other labels
+    products = rel.product_to_rxnorm.join(known, "label_id", "left_semi").select(F.col("rxnorm_product_id").alias("product_id"))
+    ids = semi(rel.vocab_rxnorm_ingredient_to_product, products, "product_id").select("ingredient_id").distinct()
     return rel.vocab_rxnorm_ingredient.join(
         ids, F.col("rxnorm_id") == F.col("ingredient_id"), "left_semi"
     ).distinct()
@@ -90,9 +108,10 @@ def effect_fraction(rel: Release, effect: str, source: str = "US") -> DataFrame:
 
 def top_effects_by_ingredients(rel: Release, k: int = 10) -> DataFrame:
     known = rel.vocab_rxnorm_ingredient.select(F.col("rxnorm_id").alias("ingredient_id"))
-    pairs = ingredient_effects(rel).join(known, "ingredient_id", "left_semi")
-    named = pairs.join(_names(rel), "effect_meddra_id")
-    counts = named.groupBy("meddra_name").agg(F.countDistinct("ingredient_id").alias("n_ingredients"))
+    members = _numbered(rel.vocab_rxnorm_ingredient_to_product.join(known, "ingredient_id", "left_semi"), "ingredient_id")
+    named = _effect_bits(rel, members).join(_names(rel), "effect_meddra_id")
+    words = named.groupBy("meddra_name", "_word").agg(F.bit_or("_bits").alias("_bits"))
+    counts = words.groupBy("meddra_name").agg(F.sum(F.bit_count("_bits")).alias("n_ingredients"))
     return top_k(counts, "n_ingredients", k, "meddra_name")
 
 
@@ -117,10 +136,12 @@ def top_effects_in_section(rel: Release, section: str = "WP", k: int = 15) -> Da
 
 def top_ingredients_by_effects(rel: Release, k: int = 10) -> DataFrame:
     names = rel.vocab_rxnorm_ingredient.select(F.col("rxnorm_id").alias("ingredient_id"), "rxnorm_name")
-    known = semi(ingredient_effects(rel), rel.vocab_meddra_adverse_effect, "effect_meddra_id", "meddra_id")
-    counts = known.join(names, "ingredient_id").groupBy("rxnorm_name").agg(
-        F.countDistinct("effect_meddra_id").alias("n_adverse_effects")
-    )
+    numbered = _numbered(names, "rxnorm_name")
+    members = null_safe_join(names.where("ingredient_id is not null"), numbered, ["rxnorm_name"])
+    known = semi(_effect_bits(rel, members), rel.vocab_meddra_adverse_effect, "effect_meddra_id", "meddra_id")
+    per_bit = known.select("_word", "_bits", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_place")).where(
+        _is_set("_bits")).groupBy("_word", "_place").agg(F.count(F.lit(1)).alias("n_adverse_effects"))
+    counts = per_bit.join(numbered, ["_word", "_place"]).select("rxnorm_name", "n_adverse_effects")
     return top_k(counts, "n_adverse_effects", k, "rxnorm_name")
 
 
@@ -162,34 +183,73 @@ def best_products_for_effect(rel: Release, effect: str, k: int = 20) -> DataFram
     ).limit(k)
 
 
-def _source_pairs(rel: Release) -> DataFrame:
-    """Distinct (source, ingredient, effect)."""
+def _is_set(bits: str) -> Column:
+    return F.expr(f"shiftright({bits}, _place) & 1 = 1")
+
+
+def _source_words(rel: Release) -> tuple[DataFrame, DataFrame]:
+    """Numbered ingredients, and (effect_meddra_id, _word) with the bits of each of the known sources.
+
+    ``_all`` holds the bits of any label, ``_named`` those of labels with a source, ``_others`` (else NULL) those of
+    each source that is not among the known ones.
+    """
+    numbered = _numbered(rel.vocab_rxnorm_ingredient_to_product, "ingredient_id")
     labels = rel.product_label.select("label_id", "source")
-    ingredients = label_ingredients(rel, known_product=True)
-    return (
-        label_effects(rel).join(ingredients.join(labels, "label_id"), "label_id")
-        .select("source", "ingredient_id", "effect_meddra_id").distinct()
-    )
+    bits = _label_bits(rel, numbered, known_product=True).join(labels, "label_id")
+    met = stage(label_effects(rel).join(bits, "label_id").groupBy("source", "effect_meddra_id", "_word").agg(
+        F.bit_or("_bits").alias("_bits")), "source_bits")
+    some = lambda test: F.coalesce(F.bit_or(F.when(test, F.col("_bits"))), F.lit(0).cast("bigint"))
+    keys = ["effect_meddra_id", "_word"]
+    words = met.groupBy(*keys).agg(
+        *[some(F.col("source") == s).alias(s) for s in SOURCES],
+        some(F.col("source").isNotNull()).alias("_named"), F.bit_or("_bits").alias("_all"))
+    others = met.where(~F.col("source").isin(*SOURCES)).groupBy(*keys).agg(F.collect_list("_bits").alias("_others"))
+    return numbered, words.join(others, keys, "left")
 
 
 def source_intersection(rel: Release) -> DataFrame:
-    return source_flags(_source_pairs(rel), ["ingredient_id", "effect_meddra_id"])
+    """Pairs of ingredient and effect, a 0/1 column per source and how many sources a pair appears in."""
+    numbered, words = _source_words(rel)
+    members = numbered.groupBy("_word").agg(F.collect_list(F.struct("_place", "ingredient_id")).alias("_members"))
+    pairs = words.join(members, "_word").select("*", F.explode("_members").alias("_m")).select(
+        "*", F.col("_m._place").alias("_place"), F.col("_m.ingredient_id").alias("ingredient_id")).where(_is_set("_all"))
+    flags = {s: F.when(_is_set("_named"), F.expr(f"cast(shiftright({s}, _place) & 1 as int)")) for s in SOURCES}
+    more = F.coalesce(F.size(F.filter("_others", lambda o: F.call_function("shiftright", o, F.col("_place")).bitwiseAND(F.lit(1)) == 1)), F.lit(0))
+    listed = sum((F.expr(f"shiftright({s}, _place) & 1") for s in SOURCES), F.lit(0).cast("bigint"))
+    return pairs.select(
+        "ingredient_id", "effect_meddra_id", (listed + F.when(F.col("_others").isNull(), 0).otherwise(more)).alias("num_sources"),
+        *[c.alias(s) for s, c in flags.items()])
 
 
 def combination_counts(rel: Release) -> DataFrame:
-    return _combination_counts(source_intersection(rel))
+    """Pairs, ingredients and effects found in each combination of sources, counted as bits."""
+    numbered, words = _source_words(rel)
+    # NULL takes part in pairs but is no ingredient
+    ids = numbered.groupBy("_word").agg(F.coalesce(F.bit_or(F.when(F.col("ingredient_id").isNotNull(), F.col("_bit"))), F.lit(0)).alias("_ids"))
+    combos = F.array(*[
+        F.struct(F.lit("-".join(c)).alias("source_combo"), reduce(lambda a, b: a.bitwiseAND(b), map(F.col, c)).alias("_bits"))
+        for c in source_combinations()])
+    member = words.join(ids, "_word").select("effect_meddra_id", "_word", "_ids", F.explode(combos).alias("_c")).select(
+        "effect_meddra_id", "_word", "_ids", "_c.*").where("_bits != 0")
+    effects = member.groupBy("source_combo", "effect_meddra_id").agg(F.sum(F.bit_count("_bits")).alias("_n")).groupBy(
+        "source_combo").agg(F.sum("_n").alias("num_ades"), F.count(F.lit(1)).alias("num_effects"))
+    ingredients = member.groupBy("source_combo", "_word").agg(
+        F.bit_or(F.col("_bits").bitwiseAND(F.col("_ids"))).alias("_bits")).groupBy("source_combo").agg(
+        F.sum(F.bit_count("_bits")).alias("num_ingredients"))
+    return effects.join(ingredients, "source_combo").select("source_combo", "num_ades", "num_ingredients", "num_effects")
 
 
 def high_confidence(rel: Release, n: int = 4) -> DataFrame:
     """Pairs found in all n sources."""
-    return having_distinct(_source_pairs(rel), ["ingredient_id", "effect_meddra_id"], "source", n)
+    return source_intersection(rel).where(F.col("num_sources") == n).select("ingredient_id", "effect_meddra_id")
 
 
 def share_with_ingredients(rel: Release) -> DataFrame:
+    """A label counts when one of its products has an ingredient; its ingredients are not listed for that."""
+    links = rel.vocab_rxnorm_ingredient_to_product.where("ingredient_id is not null")
+    mapped = semi(rel.product_to_rxnorm, links, "rxnorm_product_id", "product_id")
     labels = rel.product_label.select("label_id").distinct()
-    having = labels.join(label_ingredients(rel).select("label_id"), "label_id", "left_semi").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    having = semi(labels, mapped, "label_id").agg(F.count(F.lit(1)).alias("n"))
     total = rel.product_label.agg(F.count(F.lit(1)).alias("n")).scalar()
     return having.select(
         F.col("n").alias("products_with_ingredients"), total.alias("total_products"),

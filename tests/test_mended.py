@@ -320,3 +320,75 @@ def test_release_keeps_effects_folded_until_export(spark, tmp_path):
     assert FOLDED not in kept.columns and (kept.count(), kept.select("effect_id").distinct().count()) == (n, n)
     bare = built.with_tables(product_label=built.product_label.limit(0))
     assert f"({n} " in V.check_2b(bare).first().result  # counts rows, not folded ones
+
+
+def _odd_release(spark):
+    """Labels of other and of no source, a NULL ingredient, over 64 ingredients, repeated rows, shared names, unknown keys."""
+    from labelspark.schemas import RELEASE_SCHEMAS, Release
+
+    sources = {1: "US", 2: "UK", 3: "EU", 4: "JP", 5: "CA", 6: None, 7: "AU", 8: "US"}
+    links = [(f"p{i % 9}", f"i{i}") for i in range(150)] + [("p1", None), ("p8", "i3"), ("p9", None), ("x", "i1")]
+    values = {
+        "product_label": [(k, s, "n", str(k), None) for k, s in sources.items()] + [(9, "US", "n", "9", None)],
+        "product_to_rxnorm": [(k, f"p{(k * j) % 9}") for k in sources for j in (1, 2)] + [(9, "p9"), (77, "p1"), (1, "x")],
+        "product_adverse_effect": [(k, k * 10 + e, "AR", e, "PMB", 0.1, 5.0) for k in [*sources, 77, 9] for e in (k % 3, k % 4 + 2, 7)],
+        "vocab_rxnorm_product": [(f"p{i}", "n", "t") for i in range(10)],
+        "vocab_rxnorm_ingredient": [(f"i{i}", f"name{i % 100}", "t") for i in range(149)],
+        "vocab_rxnorm_ingredient_to_product": links,
+        "vocab_meddra_adverse_effect": [(e, f"effect{e // 2}", "PT") for e in range(7)],
+    }
+    values = {n: v + v[:1] if n in ("product_to_rxnorm", "product_adverse_effect") else v for n, v in values.items()}
+    return values, Release(**{n: spark.createDataFrame(v, RELEASE_SCHEMAS[n]) for n, v in values.items()})
+
+
+def test_pairs_counted_as_bits(spark):
+    from collections import defaultdict
+
+    from labelspark.operators.aggregates import source_combinations
+    from labelspark.plans import analytics as Q
+
+    v, rel = _odd_release(spark)
+    products, source = {p[0] for p in v["vocab_rxnorm_product"]}, {r[0]: r[1] for r in v["product_label"]}
+    name, effect = {r[0]: r[1] for r in v["vocab_rxnorm_ingredient"]}, {r[0]: r[1] for r in v["vocab_meddra_adverse_effect"]}
+    by_effect, by_name, seen = defaultdict(set), defaultdict(set), defaultdict(set)
+    for label, product in v["product_to_rxnorm"]:
+        for p, i in v["vocab_rxnorm_ingredient_to_product"]:
+            for row in v["product_adverse_effect"] if p == product and label in source else ():
+                if row[0] == label:
+                    if i in name and row[3] in effect:
+                        by_effect[effect[row[3]]].add(i)
+                        by_name[name[i]].add(row[3])
+                    if p in products:
+                        seen[i, row[3]].add(source[label])
+    effects = Q.top_effects_by_ingredients(rel, 99)
+    assert dict(rows(effects)) == {k: len(x) for k, x in by_effect.items()}
+    assert dict(rows(Q.top_ingredients_by_effects(rel, 999))) == {k: len(x) for k, x in by_name.items()}
+    known = ("US", "UK", "EU", "JP")
+    want = {(*k, len(x - {None}), *[int(s in x) if x - {None} else None for s in known]) for k, x in seen.items()}
+    got = [tuple(r) for r in Q.source_intersection(rel).select("ingredient_id", "effect_meddra_id", "num_sources", *known).collect()]
+    assert len(got) == len(want) and set(got) == want
+    combos = {}
+    for c in source_combinations():
+        pairs = [k for k, x in seen.items() if set(c) <= x]
+        if pairs:
+            combos["-".join(c)] = (len(pairs), len({i for i, _ in pairs} - {None}), len({e for _, e in pairs}))
+    assert {r[0]: r[1:] for r in rows(Q.combination_counts(rel), "source_combo", "num_ades", "num_ingredients", "num_effects")} == combos
+    for df in (effects, Q.top_ingredients_by_effects(rel)):  # pairs of ingredient and effect were rows of a distinct
+        assert "bit_or" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labels_are_not_listed_with_all_their_ingredients(spark):
+    from labelspark.plans import analytics as Q
+
+    v, rel = _odd_release(spark)
+    share = Q.share_with_ingredients(rel)
+    assert share.first()[:2] == (8, 9)  # label 9 has one product, whose only ingredient is NULL
+    of = {r[0] for r in v["product_adverse_effect"] if r[3] == 2} & {r[0] for r in v["product_label"]}
+    products = {p for k, p in v["product_to_rxnorm"] if k in of}
+    want = {i for p, i in v["vocab_rxnorm_ingredient_to_product"] if p in products} & {r[0] for r in v["vocab_rxnorm_ingredient"]}
+    only2 = rel.with_tables(vocab_meddra_adverse_effect=rel.vocab_meddra_adverse_effect.where("meddra_id = 2"))
+    found = Q.ingredients_for_effect(only2, "effect1")
+    assert {r[0] for r in rows(found, "rxnorm_id")} == want
+    for df in (share, found):  # a join of labels with ingredients had one row for each
+        assert "LeftSemi" in df._jdf.queryExecution().optimizedPlan().toString() and \
+            "Join Inner" not in df._jdf.queryExecution().optimizedPlan().toString()
