@@ -392,3 +392,29 @@ def test_labels_are_not_listed_with_all_their_ingredients(spark):
     for df in (share, found):  # a join of labels with ingredients had one row for each
         assert "LeftSemi" in df._jdf.queryExecution().optimizedPlan().toString() and \
             "Join Inner" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_text_files_are_dealt_to_tasks_and_read_whole(spark, tmp_path):
+    import gzip
+
+    from labelspark.sources.readers import read_text_with_meta
+    from labelspark.sources.writers import write_files
+
+    texts = [(f"t{i}.txt", f"m{i}.json", f"  Über {i}\r\n\x00zwei\n", f'{{"name": "n{i}", "code": "c{i}"}}') for i in range(30)]
+    df = spark.createDataFrame(texts, "t string, m string, text string, meta string").coalesce(1)
+    df = df.withColumn("m", F.replace("t", F.lit(".txt"), F.lit(".json")))
+    spark.sparkContext.setJobGroup("files", "files")
+    write_files(df, f"{tmp_path}/text", "t", "text")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    write_files(df, f"{tmp_path}/meta", "m", "meta")
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("files") for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) > 1  # one task wrote all files of a table in one partition
+    with gzip.open(f"{tmp_path}/text/t0.txt.gz", "wb") as f:
+        f.write("packed".encode())
+    (tmp_path / "text" / "t1.txt").write_bytes(b"")
+    (tmp_path / "text" / "t2.txt").write_bytes(b" \n ")
+    got = sorted(tuple(r) for r in read_text_with_meta(spark, f"{tmp_path}/text", f"{tmp_path}/meta").select("code", "text").collect())
+    assert got == sorted([("c0", "packed")] + [(f"c{i}", f"Über {i}\r\n\x00zwei") for i in range(30) if i not in (1, 2)])
+    plan = read_text_with_meta(spark, f"{tmp_path}/text", f"{tmp_path}/meta")._jdf.queryExecution().toString()
+    assert "binaryFile" in plan
