@@ -226,3 +226,18 @@ def test_template_makes_no_pairs(spark):
     finally:
         jaccard_join._led = keep
     assert all(r.component_id == r.doc_id for r in got) and seen == [0]
+
+
+def test_sets_travel_only_where_sketches_allow_a_link(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = []
+    for i in range(40):  # pairs alike at about 0.6, so that guides propose them and none links
+        words = [f"w{i}x{rng.random()}" for _ in range(400)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:300] + [f"v{rng.random()}" for _ in range(100)]))]
+    sent, asked = [], []
+    search, able = jaccard_join._search, jaccard_join._able
+    monkeypatch.setattr(jaccard_join, "_search", lambda r, t: (sent.append(r.count()), search(r, t))[1])
+    monkeypatch.setattr(jaccard_join, "_able", lambda p, s: (asked.append(p.count()), able(p, s))[1])
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.doc_id == r.component_id for r in got) and len(got) == 80
+    assert sum(asked) > 0 and sum(sent) == 0
