@@ -418,3 +418,14 @@ def test_text_files_are_dealt_to_tasks_and_read_whole(spark, tmp_path):
     assert got == sorted([("c0", "packed")] + [(f"c{i}", f"Über {i}\r\n\x00zwei") for i in range(30) if i not in (1, 2)])
     plan = read_text_with_meta(spark, f"{tmp_path}/text", f"{tmp_path}/meta")._jdf.queryExecution().toString()
     assert "binaryFile" in plan
+
+
+def test_a_point_meets_one_interval_however_many_cover_it(spark):
+    from labelspark.operators.intervals import first_parts
+
+    spans = [(1, i, 5000 + i // 2, f"v{i % 7}") for i in range(300)] + [(1, 0, 9000, "w"), (2, 5, 9, "b"), (2, 5, 7, "a"), (2, 5, 7, "a"), (2, 4, 4, "c")]
+    got = rows(first_parts(spark.createDataFrame(spans, "k int, start int, stop int, v string"), ["k"], "v"), "k", "start", "stop", "v")
+    want = {p: min((s, e, v) for k, s, e, v in spans if k == 1 and s <= p < e)[2] for p in range(9000)}
+    assert {p: v for k, s, e, v in got if k == 1 for p in range(s, e)} == want
+    assert sum(e - s for k, s, e, _ in got if k == 1) == 9000 and len(got) == 4
+    assert [r for r in got if r[0] == 2] == [(2, 5, 7, "a"), (2, 7, 9, "b")]
