@@ -7,6 +7,7 @@ document); everything a regular expression can say stays in the JVM.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
@@ -94,36 +95,40 @@ _BLOCK = {
 _VOID = {"br", "img", "hr", "meta", "link", "input", "col", "area", "base", "wbr", "source"}
 
 
-def _events(html: str) -> Iterator[tuple[str, str, dict]]:
-    """Open, close and text events of a page, without scripts and styles."""
-    from html.parser import HTMLParser
+class _Reader(HTMLParser):
+    """Open, close and text events of a page, without scripts and styles. Made once: making a class costs more than a small page."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out: list[tuple[str, str, dict]] = []
+        self.hidden = 0
 
-    out: list[tuple[str, str, dict]] = []
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers
 
-    class Reader(HTMLParser):
-        hidden = 0
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.hidden += 1
+        self.out.append(("open", tag, dict(attrs) if attrs else {}))
+        if tag in _VOID:
+            self.out.append(("close", tag, {}))
 
-        def handle_starttag(self, tag, attrs):
-            if tag in ("script", "style"):
-                self.hidden += 1
-            out.append(("open", tag, dict(attrs)))
-            if tag in _VOID:
-                out.append(("close", tag, {}))
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.hidden = max(0, self.hidden - 1)
+        if tag not in _VOID:
+            self.out.append(("close", tag, {}))
 
-        def handle_endtag(self, tag):
-            if tag in ("script", "style"):
-                self.hidden = max(0, self.hidden - 1)
-            if tag not in _VOID:
-                out.append(("close", tag, {}))
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(("text", data, {}))
 
-        def handle_data(self, data):
-            if not self.hidden:
-                out.append(("text", data, {}))
 
-    reader = Reader(convert_charrefs=True)
+def _events(html: str) -> Iterator[tuple[str, str, dict]]:
+    reader = _Reader()
     reader.feed(html)
     reader.close()
-    return iter(out)
+    return iter(reader.out)
 
 
 def _join_text(parts: list[str]) -> str:
@@ -261,15 +266,15 @@ def html_tables(pages: DataFrame, key: str) -> DataFrame:
     """(key, table_no, row_no, cells): non-empty table rows, padded to the widest of the table."""
     schema = f"{key} {pages.schema[key].dataType.simpleString()}, table_no int, row_no int, cells array<string>"
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
         for batch in batches:
-            rows = [
-                (k, *row) for k, h in zip(batch[key], batch["html"]) if h for row in _tables_of(h)
-            ]
-            yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "cells"])
+            rows = [(i, *row) for i, h in enumerate(batch.column(1).to_pylist()) if h for row in _tables_of(h)]
+            at, *made = [pa.array(v, kind) for v, kind in zip(zip(*rows) if rows else [()] * 4, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *made], names=[key, "table_no", "row_no", "cells"])
 
     # written once: both sides of the padding read it, and each would parse all pages
-    return pad_rows(stage(pages.select(key, "html").mapInPandas(parse, schema), "cells"), [key, "table_no"])
+    return pad_rows(stage(pages.select(key, "html").mapInArrow(parse, schema), "cells"), [key, "table_no"])
 
 
 def pad_rows(cells: DataFrame, keys: list[str]) -> DataFrame:

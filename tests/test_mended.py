@@ -429,3 +429,15 @@ def test_a_point_meets_one_interval_however_many_cover_it(spark):
     assert {p: v for k, s, e, v in got if k == 1 for p in range(s, e)} == want
     assert sum(e - s for k, s, e, _ in got if k == 1) == 9000 and len(got) == 4
     assert [r for r in got if r[0] == 2] == [(2, 5, 7, "a"), (2, 7, 9, "b")]
+
+
+def test_small_pages_share_one_reader_class(monkeypatch):
+    import builtins
+
+    from labelspark.operators import extract as X
+
+    made, build = [], builtins.__build_class__
+    monkeypatch.setattr(builtins, "__build_class__", lambda *a, **k: (made.append(a[1]), build(*a, **k))[1])
+    page = "<script>no</script><table><tr><td id='x'>a &amp;<br>b</td><th>c</th></tr></table>"
+    assert [X._tables_of(page) for _ in range(3)] == [[(0, 0, ["a & b", "c"])]] * 3 and X._text_of(page) == "a & b c"
+    assert made == []
