@@ -441,3 +441,24 @@ def test_small_pages_share_one_reader_class(monkeypatch):
     page = "<script>no</script><table><tr><td id='x'>a &amp;<br>b</td><th>c</th></tr></table>"
     assert [X._tables_of(page) for _ in range(3)] == [[(0, 0, ["a & b", "c"])]] * 3 and X._text_of(page) == "a & b c"
     assert made == []
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    from labelspark.sources import readers as R
+
+    for kind in ("text", "meta"):
+        (tmp_path / kind).mkdir()
+    for i in range(150):
+        (tmp_path / "text" / f"d{i}.txt").write_text(f" text {i}\n")
+        (tmp_path / "meta" / f"d{i}.json").write_text('{"name": "n%d",\n "code": "c%d"}' % (i, i))
+    seen, join = [], R.join_text_with_meta
+    monkeypatch.setattr(R, "join_text_with_meta", lambda a, b: (seen.extend([a, b]), join(a, b))[1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        got = rows(R.read_text_with_meta(spark, str(tmp_path / "text"), str(tmp_path / "meta")), "name", "code", "text")
+        most = 4 * spark.sparkContext.defaultParallelism
+        assert most < 150 and all(df.rdd.getNumPartitions() <= most for df in seen) and len(seen) == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted((f"n{i}", f"c{i}", f"text {i}") for i in range(150))
