@@ -195,13 +195,14 @@ def _parsed(pages: pa.Array, parse: Callable[[str], str]) -> pa.Array:
 
 
 def _per_document(docs: DataFrame, column: str, out: str, parse: Callable[[str], str]) -> DataFrame:
-    """One text column computed per document; the other columns stay in the JVM."""
+    """One text column computed per document; the other columns stay in the JVM. A null document has a null text."""
     @F.arrow_udf("string")
     def apply(pages: pa.Array) -> pa.Array:
         return _parsed(pages, parse)
 
     # not deterministic: a later filter on the text must not parse the page again
-    return docs.withColumn(out, apply.asNondeterministic()(F.col(column))).drop(column)
+    text = F.when(F.col(column).isNotNull(), apply.asNondeterministic()(F.col(column)))
+    return docs.withColumn(out, text).drop(column)
 
 
 def section_by_id(pages: DataFrame, section_id: str = "UNDESIRABLE_EFFECTS") -> DataFrame:

@@ -462,3 +462,12 @@ def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == sorted((f"n{i}", f"c{i}", f"text {i}") for i in range(150))
+
+
+def test_a_missing_page_has_no_text_and_an_empty_one_an_empty_text(spark):
+    from labelspark.operators import extract as X
+
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, "<p>a</p>")], "k int, html string")
+    assert rows(X.html_text(pages).where("text is null or true"), "k", "text") == [(1, None), (2, ""), (3, "a")]
+    for text in (X.section_by_id, X.section_between):
+        assert rows(text(pages), "k", "text") == [(1, None), (2, ""), (3, "")]
